@@ -38,7 +38,9 @@ SCHEMA_CHANGES = (
     "topic string, table_name string, new_columns array<string>, batch_id bigint, "
     "detected_at string, created_at timestamp_ntz"
 )
-DEAD_LETTERS = "source string, batch_id bigint, reason string, record string"
+DEAD_LETTERS = (
+    "source string, batch_id bigint, reason string, record string, quarantine_ts timestamp_ntz"
+)
 REQUIRED_IN_PROFILES = (
     "topic", "batch_id", "record_count", "null_rate_avg", "null_rate_max", "schema_hash",
     "column_count",
@@ -67,6 +69,8 @@ CLICK_DEFAULTS = {
 }
 INVENTORY_DEFAULTS = {"last_movement": "unknown", "restock_flag": False, "restock_qty": 0}
 REPLAY_CAP = 500
+# Keys that producers and the replay add for their own use; they are never new columns
+INTERNAL_KEYS = ("_fault_injected", "_reprocessed_at", "_original_reason")
 
 # ---------------------------------------------------------------------------
 # Retention and ingest settings

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import fixed_values as fv
 from tidemark.functions.scalars import as_of_ts
 from tidemark.topics import Topic
 
@@ -31,12 +32,16 @@ def key_report(records: DataFrame, topic: str, limit: int = KEY_REPORT_LIMIT) ->
     return keys.orderBy("key").limit(limit)
 
 
+def known_names(topic: Topic, existing: Iterable[str] = ()) -> list[str]:
+    return [*topic.expected_columns, *existing, *fv.INTERNAL_KEYS]
+
+
 def new_columns(keys: DataFrame, topic: Topic, existing: Iterable[str] = ()) -> DataFrame:
     """Keys of the topic that are in neither the contract nor the table, with a safety flag.
 
-    Names are compared in lower case.
+    Names are compared in lower case; internal keys are never new.
     """
-    known = sorted({c.lower() for c in (*topic.expected_columns, *existing)})
+    known = sorted({c.lower() for c in known_names(topic, existing)})
     names = (
         keys.filter(F.col("topic") == topic.name)
         .select("topic", F.lower("key").alias("column_name"))

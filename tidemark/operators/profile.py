@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark import fixed_values as fv
 from tidemark.functions.scalars import round_to, stable_id
 
 
@@ -17,10 +18,18 @@ def fingerprint(keys: Column) -> Column:
 
 
 def observed_keys(value: Column | str, also: Sequence[str] = ()) -> Column:
-    """Sorted keys of a JSON object text plus the given names; just those when malformed."""
+    """Sorted keys of a JSON object text plus the given names; just those when malformed.
+
+    Internal keys do not count.
+    """
     c = F.col(value) if isinstance(value, str) else value
-    keys = F.coalesce(F.json_object_keys(c), F.array().cast("array<string>"))
-    return F.array_sort(F.array_union(keys, F.array(*[F.lit(a) for a in also]).cast("array<string>")))
+    keys = F.coalesce(F.json_object_keys(c), _names(()))
+    keys = F.array_except(keys, _names(fv.INTERNAL_KEYS))
+    return F.array_sort(F.array_union(keys, _names(also)))
+
+
+def _names(names: Sequence[str]) -> Column:
+    return F.array(*[F.lit(n) for n in names]).cast("array<string>")
 
 
 def profile_batches(

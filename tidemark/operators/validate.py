@@ -88,14 +88,16 @@ def routing_counts(annotated: DataFrame, *by: str) -> DataFrame:
 def dead_letters(rejected: DataFrame, record_type: str) -> DataFrame:
     """Reject envelope: source, batch_id, reason and the record as JSON text.
 
-    Columns whose name starts with an underscore are internal and stay out of the record.
+    Columns whose name starts with an underscore are internal and stay out of the record, as
+    does the raw text. The time of rejection is kept beside it.
     """
-    fields = [c for c in rejected.columns if not c.startswith("_")]
+    fields = [c for c in rejected.columns if not c.startswith("_") and c != "value"]
     return rejected.select(
         F.lit(record_type).alias("source"),
         F.col("batch_id").cast("bigint").alias("batch_id"),
         F.coalesce("reject_reason", F.lit("UNKNOWN")).alias("reason"),
         F.to_json(F.struct(*fields)).alias("record"),
+        "quarantine_ts",
     )
 
 

@@ -1,10 +1,12 @@
-"""Session defaults and the shared work folder."""
+"""Session defaults, the shared work folder and one-time materialisation."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
+from functools import cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, name: str = "tidemark", memory: str = "8g") -> SparkSession:
@@ -18,6 +20,7 @@ def local_session(cores: int | str = 8, name: str = "tidemark", memory: str = "8
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
@@ -32,4 +35,24 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="tidemark-")
+    return _local_folder(spark.sparkContext.applicationId)
+
+
+@cache
+def _local_folder(application_id: str) -> str:
+    return tempfile.mkdtemp(prefix=f"tidemark-{application_id}-")
+
+
+def new_folder(spark: SparkSession, purpose: str) -> str:
+    return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written_once(df: DataFrame, purpose: str) -> DataFrame:
+    """Write the frame to the shared folder and read it back.
+
+    For intermediate tables that several later steps read: they are computed once, survive the
+    loss of executors, and have a known size when the next join is planned.
+    """
+    path = new_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as fx
 from tidemark.operators.profile import as_stored, baselines, profile_batches, with_baseline
+from tidemark.session import written_once
 from tidemark.topics import CLICKS, INVENTORY, ORDERS
 
 SEQUENCE = "ingest_seq"  # settles ties between events with equal ingested_at
@@ -147,34 +148,27 @@ def profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = profiles(spark, sf_dir)
+    found = written_once(profiles(spark, sf_dir), "profiles")
     return as_stored(with_baseline(found, baselines(found)))
 
 
-def anomaly_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def anomaly_log(stored_profiles: DataFrame) -> DataFrame:
     """Stand-in scores per profile, so that everything behind the model can be checked in SQL."""
+    return scored_stand_in(stored_profiles).filter("anomaly_score < 0")
+
+
+def scored_stand_in(stored_profiles: DataFrame) -> DataFrame:
     score = F.expr(
         "cast(round(cast(0.05D - ((batch_id * 37) % 50) / 100D AS decimal(38,10)), 6) AS double)"
     )
-    per_topic = [
-        raw_with_batch(spark, sf_dir, t)
-        .groupBy(F.lit(t).alias("topic"), F.col("batch_id").cast("bigint").alias("batch_id"))
-        .agg(F.min("ingested_at").alias("created_at"))
-        for t in RAW
-    ]
-    batches = per_topic[0].unionByName(per_topic[1]).unionByName(per_topic[2])
-    return scored_stand_in(batches, score).filter("anomaly_score < 0")
-
-
-def scored_stand_in(batches: DataFrame, score) -> DataFrame:
-    return batches.withColumn("anomaly_score", score).select(
+    return stored_profiles.withColumn("anomaly_score", score).select(
         fx.stable_id(F.lit("anomaly"), "topic", "batch_id").alias("anomaly_id"),
-        fx.stable_id("topic", "batch_id").alias("profile_id"),
+        "profile_id",
         "topic",
         "batch_id",
         "anomaly_score",
         fx.severity_of("anomaly_score").alias("severity"),
         (F.col("batch_id") % 9 == 0).alias("is_schema_drift"),
-        F.col("created_at").cast("string").alias("scored_at"),
+        F.col("profile_ts").alias("scored_at"),
         "created_at",
     )

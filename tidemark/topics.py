@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +13,12 @@ from pyspark.sql.types import StructType
 from tidemark import fixed_values as fv
 
 
+@cache
+def struct_of(ddl: str) -> StructType:
+    """Schema of a DDL text. Needs a session, so never call it while modules load."""
+    return StructType.fromDDL(ddl)
+
+
 @dataclass(frozen=True)
 class Topic:
     name: str
@@ -27,11 +34,11 @@ class Topic:
 
     @property
     def payload(self) -> StructType:
-        return StructType.fromDDL(self.payload_ddl)
+        return struct_of(self.payload_ddl)
 
     @property
     def table_schema(self) -> StructType:
-        return StructType.fromDDL(f"{self.payload_ddl}, {self.metadata_ddl}")
+        return struct_of(f"{self.payload_ddl}, {self.metadata_ddl}")
 
     @property
     def expected_columns(self) -> list[str]:
