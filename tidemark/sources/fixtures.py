@@ -31,7 +31,9 @@ def orders_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = table(spark, sf_dir, "orders").join(
         region_of_customer, F.expr("o_custkey = c_custkey")
     )
-    lines = table(spark, sf_dir, "lineitem").join(placed, F.expr("l_orderkey = o_orderkey"))
+    # Both sides grow with the data, so neither is ever sent whole to every task.
+    lines = table(spark, sf_dir, "lineitem").hint("merge")
+    lines = lines.join(placed, F.expr("l_orderkey = o_orderkey"))
     return lines.selectExpr(
         "CASE WHEN (l_orderkey * 7 + l_linenumber) % 97 <> 0 "
         "THEN concat('ORD-', l_orderkey, '-', l_linenumber) END AS order_id",
