@@ -1,0 +1,166 @@
+import math
+
+import numpy as np
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark import fixed_values as fv
+from tidemark.operators import forest as fo
+
+AS_OF = "2024-01-31 00:00:00"
+
+
+def feature_rows(spark, n, outlier=False, parts=3):
+    rng = np.random.default_rng(7)
+    pdf = pd.DataFrame({c: rng.normal(100, 5, n) for c in fv.FEATURES})
+    pdf["column_count"] = 12.0  # constant feature
+    if outlier:
+        pdf.loc[n - 1, ["record_count", "null_rate_avg"]] = [900.0, 900.0]
+    pdf.insert(0, "profile_id", np.arange(n))
+    pdf["topic"], pdf["batch_id"], pdf["schema_hash"] = "t", np.arange(n), "a"
+    df = spark.createDataFrame(pdf).withColumn("expected_schema_hash", F.lit(None).cast("string"))
+    return df.repartition(parts)
+
+
+def test_average_path_values():
+    got = fo.average_path(np.array([0, 1, 2, 3, 256]))
+    harmonic = math.log(255) + np.euler_gamma
+    expected = [0, 0, 1, 2 * (math.log(2) + np.euler_gamma) - 4 / 3, 2 * harmonic - 2 * 255 / 256]
+    assert np.allclose(got, expected)
+
+
+def test_hand_built_tree():
+    nodes = pd.DataFrame(
+        {"tree_id": 0, "node_id": [0, 1, 2, 3, 4], "left_id": [1, 1, 3, 3, 4],
+         "feature": [0, -1, 1, -1, -1], "threshold": [0.5, np.nan, 2.0, np.nan, np.nan],
+         "path": [0, 1.0, 0, 2.0, 3.0], "sample_size": 4}
+    )
+    x = np.array([[0.5, 9.0], [0.6, 2.0], [0.6, 2.1]])
+    norm = float(fo.average_path(4))
+    got = fo.Forest.from_nodes(nodes).normality(x)
+    assert np.allclose(got, -np.exp2(-np.array([1.0, 2.0, 3.0]) / norm))
+
+
+def brute_path(nodes, x):
+    rows = nodes.set_index("node_id")
+    at = 0
+    while rows.loc[at, "feature"] >= 0:
+        at = int(rows.loc[at, "left_id"]) + int(x[rows.loc[at, "feature"]] > rows.loc[at, "threshold"])
+    return rows.loc[at, "path"]
+
+
+def test_scoring_equals_a_walk_through_the_nodes(spark):
+    model = fo.fit(feature_rows(spark, 120), AS_OF, trees=7, sample=32)
+    x = np.random.default_rng(1).normal(0, 2, (40, 6))
+    means = np.mean(
+        [[brute_path(n, row) for row in x] for _, n in model.nodes.groupby("tree_id")], axis=0
+    )
+    expected = -np.exp2(-means / float(fo.average_path(32)))
+    assert np.allclose(fo.Forest.from_nodes(model.nodes).normality(x, chunk=7), expected)
+
+
+def test_tree_invariants(spark):
+    model = fo.fit(feature_rows(spark, 300), AS_OF, trees=5, sample=64)
+    for _, tree in model.nodes.groupby("tree_id"):
+        assert len(tree) <= 2 * 64 - 1 and (tree.sample_size == 64).all()
+        assert (tree.loc[tree.feature >= 0, "feature"] != fv.FEATURES.index("column_count")).all()
+        leaves = tree[tree.feature < 0]
+        assert (leaves.path <= math.log2(64) + float(fo.average_path(64))).all()
+
+
+def test_same_seed_same_forest_on_any_partitioning(spark):
+    a = fo.fit(feature_rows(spark, 200, parts=1), AS_OF, trees=20)
+    b = fo.fit(feature_rows(spark, 200, parts=5), AS_OF, trees=20)
+    c = fo.fit(feature_rows(spark, 200, parts=5), AS_OF, trees=20, seed=43)
+    structure = ["tree_id", "node_id", "left_id", "feature"]
+    assert a.nodes[structure].equals(b.nodes[structure])
+    assert np.allclose(a.nodes.threshold, b.nodes.threshold, equal_nan=True)
+    assert not a.nodes[structure].equals(c.nodes[structure])
+    assert a.meta["flagged"] == b.meta["flagged"]
+
+
+def test_planted_outlier_is_first_and_contamination_holds(spark):
+    df = feature_rows(spark, 400, outlier=True)
+    model = fo.fit(df, AS_OF, trees=100, contamination=0.05)
+    assert abs(model.meta["flagged"] - 20) <= 2
+    scored = fo.score(df, model, "2024-01-31T00:00:00")
+    first = scored.orderBy("anomaly_score").first()
+    assert first.profile_id == 399 and first.is_anomaly and not first.is_schema_drift
+    assert scored.filter("is_anomaly").count() == model.meta["flagged"]
+    assert fo.alerts(scored).columns == [c.split()[0] for c in fv.ANOMALY_LOG.split(", ")]
+    assert math.isclose(model.meta["threshold"], model.meta["score_mean"] - 2 * model.meta["score_std"])
+
+
+def test_too_few_rows(spark):
+    with pytest.raises(fo.TooFewRows):
+        fo.fit(feature_rows(spark, 49), AS_OF)
+    fo.fit(feature_rows(spark, 50), AS_OF, trees=3)
+
+
+def test_repeated_profile_ids_count_once(spark):
+    df = feature_rows(spark, 60)
+    hot = df.filter("profile_id = 5")
+    many = df
+    for _ in range(5):
+        hot = hot.unionByName(hot)
+    many = df.unionByName(hot)
+    assert fo.fit(many, AS_OF, trees=3).meta["rows"] == 60
+
+
+def test_drawn_pairs_stay_bounded(spark):
+    rows = spark.range(200_000).withColumnRenamed("id", "profile_id")
+    drawn = fo.draw_samples(rows, 200_000, trees=20, sample=64, seed=1, id_column="profile_id")
+    per_tree = [r["count"] for r in drawn.groupBy("tree_id").count().collect()]
+    assert len(per_tree) == 20 and min(per_tree) >= 64 and sum(per_tree) < 20 * 64 * 4
+
+
+def test_short_draw_is_repeated_with_more_slack(spark, monkeypatch):
+    calls, real = [], fo.draw_samples
+
+    def stingy(rows, n, trees, sample, seed, id_column, widen=1.0):
+        calls.append(widen)
+        return real(rows, n, trees, sample, seed, id_column, widen * 0.3)
+
+    monkeypatch.setattr(fo, "draw_samples", stingy)
+    model = fo.fit(feature_rows(spark, 2000), AS_OF, trees=4, sample=256)
+    assert len(calls) > 1 and (model.nodes.sample_size == 256).all()
+
+
+def test_oversized_forest_is_refused(spark):
+    with pytest.raises(ValueError):
+        fo.grow_forest(feature_rows(spark, 60), 60, fv.FEATURES, "profile_id", trees=10**6)
+
+
+def test_feature_frame_times_and_nulls(spark):
+    df = spark.createDataFrame(
+        [(1, "t", 1, 10, None, 0.5, 12, "h", None, "2024-01-07T13:00:00"),
+         (2, "t", 2, 0, 0.1, 0.5, 12, "h", None, "2024-01-07T13:00:00"),
+         (3, "t", 3, 10, 0.1, 0.5, 12, "h", None, "2023-01-07T13:00:00")],
+        "profile_id long, topic string, batch_id long, record_count long, null_rate_avg double, "
+        "null_rate_max double, column_count int, schema_hash string, expected_schema_hash string, profile_ts string",
+    )
+    (r,) = fo.feature_frame(df, AS_OF, 30).collect()
+    assert (r.profile_id, r.null_rate_avg, r.hour_of_day, r.day_of_week) == (1, 0.0, 13.0, 0.0)
+    volume = fo.training_volume(df, AS_OF).first()
+    assert (volume.profiles, volume.enough_to_train, volume.enough_to_retrain) == (2, False, False)
+    with pytest.raises(fo.TooFewRows):
+        fo.require_retrain_volume(df, AS_OF)
+
+
+def test_standardize_constant_feature(spark):
+    got = fo.standardize(feature_rows(spark, 80)).agg(
+        F.max(F.abs("column_count")), F.avg("record_count"), F.stddev_pop("record_count")
+    ).first()
+    assert got[0] == 0.0 and abs(got[1]) < 1e-9 and abs(got[2] - 1) < 1e-9
+
+
+def test_save_and_load(spark, tmp_path):
+    df = feature_rows(spark, 60)
+    model = fo.fit(df, AS_OF, trees=5)
+    model.save(spark, str(tmp_path / "m"))
+    again = fo.Model.load(spark, str(tmp_path / "m"))
+    pd.testing.assert_frame_equal(model.nodes, again.nodes, check_dtype=False)
+    a = fo.score(df, model, AS_OF).orderBy("profile_id").select("anomaly_score").toPandas()
+    b = fo.score(df, again, AS_OF).orderBy("profile_id").select("anomaly_score").toPandas()
+    assert a.equals(b)

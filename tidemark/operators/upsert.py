@@ -16,6 +16,9 @@ from tidemark.session import written_once
 
 
 CELL = ("load_day", "bucket")
+# A rewritten cell holds one row with this mark and nothing else, so that a cell whose last
+# row moved elsewhere is overwritten too. Reads leave the row out.
+GONE = "_gone"
 
 
 def newer_than(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -84,7 +87,7 @@ class KeyedTable:
         if not self.exists():
             first = _cell_last(self._placed(incoming))
             self._write(first, self.path)
-            self._write_schema(first.drop(*CELL).schema, "_schema")  # makes the table exist
+            self._write_text(first.drop(*CELL).schema.json(), "_schema")  # now the table exists
             return
         placed = written_once(self._placed(incoming), "incoming")
         target = self._cells()
@@ -103,20 +106,24 @@ class KeyedTable:
         )
         rest = without_keys(target.filter(in_touched), placed, ("bucket", *self.keys))
         merged = _cell_last(placed.unionByName(rest, allowMissingColumns=True))
-        self._write(merged, f"{self.path}/_pending")
-        self._write_schema(merged.drop(*CELL).schema, "_pending_schema")
-        self._mark("pending")
+        marks = cells.distinct().withColumn(GONE, F.lit(True))
+        self._write(
+            _cell_last(merged.unionByName(marks, allowMissingColumns=True)), f"{self.path}/_pending"
+        )
+        self._write_text(merged.drop(*CELL).schema.json(), "_pending_schema")
         self.recover()
 
     def recover(self) -> None:
         """Put a fully written change in place, again if an earlier attempt was interrupted."""
-        if self._read_text("_marker") != "pending":
+        text = self._read_text("_pending_schema")  # empty when nothing is pending
+        if not text:
             return
-        schema = StructType.fromJson(json.loads(self._read_text("_pending_schema")))
-        pending = self.spark.read.schema(_with_cell(schema)).parquet(f"{self.path}/_pending")
-        self._write_schema(schema, "_schema")
+        stored = StructType([*StructType.fromJson(json.loads(text)).fields]).add(GONE, "boolean")
+        pending = self.spark.read.schema(_with_cell(stored)).parquet(f"{self.path}/_pending")
+        if text != self._read_text("_schema"):
+            self._write_text(text, "_schema")
         self._write(pending, self.path, dynamic=True)
-        self._mark("done")
+        self._write_text("", "_pending_schema")
 
     # ---------------------------------------------------------------- parts
 
@@ -125,7 +132,9 @@ class KeyedTable:
         return df.withColumn("load_day", F.col(self.newest).cast("date")).withColumn("bucket", bucket)
 
     def _cells(self) -> DataFrame:
-        return self.spark.read.schema(_with_cell(self.schema())).parquet(self.path)
+        stored = _with_cell(StructType([*self.schema().fields]).add(GONE, "boolean"))
+        rows = self.spark.read.schema(stored).parquet(self.path)
+        return rows.filter(F.col(GONE).isNull()).drop(GONE)
 
     def _write(self, df: DataFrame, path: str, dynamic: bool = False) -> None:
         # The rebalance hint lets Spark size the files and split a cell that is too large.
@@ -137,12 +146,6 @@ class KeyedTable:
             .parquet(path)
         )
 
-    def _write_schema(self, schema: StructType, name: str) -> None:
-        self._write_text(schema.json(), name)
-
-    def _mark(self, state: str) -> None:
-        self._write_text(state, "_marker")
-
     def _write_text(self, text: str, name: str) -> None:
         one = self.spark.range(1).select(F.lit(text).alias("value"))
         one.coalesce(1).write.mode("overwrite").text(f"{self.path}/{name}")
@@ -156,7 +159,7 @@ class KeyedTable:
 
 
 def _with_cell(schema: StructType) -> StructType:
-    return StructType([*schema.fields]).add("load_day", "date").add("bucket", "int")
+    return StructType([*schema.fields]).add("load_day", "date").add("bucket", "integer")
 
 
 def _cell_last(df: DataFrame) -> DataFrame:
