@@ -43,7 +43,7 @@ def test_fingerprint_follows_observed_keys(spark):
          (3, '{"a":1,"b":2,"_fault_injected":"x"}')],
         "batch_id long, value string",
     ).withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz"))
-    found = profile.profile_batches(raw, "t", ["value"], keys=profile.observed_keys("value", ["m"]))
+    found = profile.profile_batches(raw, "t", ["value"], shape=profile.shape_of("value"), also=["m"])
     got = {r.batch_id: r for r in found.collect()}
     assert got[1].observed_columns == ["a", "b", "m"] and got[2].observed_columns == ["a", "b", "m", "new"]
     assert got[1].schema_hash == got[3].schema_hash != got[2].schema_hash

@@ -105,6 +105,16 @@ def test_drift_heals_and_old_files_read_null(spark, tmp_path, warehouse):
     assert got == {"S1": None, "S2": None, "S3": None, "S4": None, "S5": "B"}
 
 
+def test_data_sent_as_keys_is_refused(spark, warehouse):
+    raw = spark.createDataFrame([(click(i, **{f"k{i}": 1}),) for i in range(5)], "value string")
+    batch = events.parse(raw, CLICKS, F.lit(AS_OF).cast("timestamp_ntz"))
+    ingest.process_batch(batch, 0, CLICKS, warehouse, "s")
+    with pytest.raises(jobs.TooManyColumns):
+        jobs.heal_schema(warehouse, CLICKS, 0, AS_OF, at_most=4)
+    assert warehouse.added_columns("clickstream_raw") == []
+    assert len(jobs.heal_schema(warehouse, CLICKS, 0, AS_OF)) == 5
+
+
 def test_stream_upsert_equals_batch_staging(spark, tmp_path, warehouse, rows):
     src = tmp_path / "orders"
     write(src, "a.txt", [order(1, amount=1.0), order(2)])

@@ -17,15 +17,19 @@ def fingerprint(keys: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(keys), ","), 256)
 
 
-def observed_keys(value: Column | str, also: Sequence[str] = ()) -> Column:
-    """Sorted keys of a JSON object text plus the given names; just those when malformed.
+def shape_of(value: Column | str) -> Column:
+    """The keys of a JSON object text, as text; no keys when malformed.
 
-    Internal keys do not count.
+    Text rather than an array: a batch has few shapes, which compress and group well as text.
     """
     c = F.col(value) if isinstance(value, str) else value
-    keys = F.coalesce(F.json_object_keys(c), _names(()))
-    keys = F.array_except(keys, _names(fv.INTERNAL_KEYS))
-    return F.array_sort(F.array_union(keys, _names(also)))
+    return F.coalesce(F.to_json(F.json_object_keys(c)), F.lit("[]"))
+
+
+def _keys_of(shape: Column, also: Sequence[str]) -> Column:
+    """Sorted keys of a shape plus the given names. Internal keys do not count."""
+    keys = F.array_except(F.from_json(shape, "array<string>"), _names(fv.INTERNAL_KEYS))
+    return F.array_union(keys, _names(also))
 
 
 def _names(names: Sequence[str]) -> Column:
@@ -38,30 +42,40 @@ def profile_batches(
     columns: Sequence[str],
     batch: Column | str = "batch_id",
     ingested_at: str = "ingested_at",
-    keys: Column | None = None,
+    shape: Column | None = None,
+    also: Sequence[str] = (),
 ) -> DataFrame:
     """One profile row per batch.
 
-    `columns` are the columns whose null rates count. `keys` is the row's observed column
-    names; without it, `columns` are the observed names of every row. Rows are first reduced
-    per (batch, key set) and only then per batch, so neither a hot batch nor the key arrays
-    travel row by row.
+    `columns` are the columns whose null rates count. `shape` holds the row's observed keys
+    (see `shape_of`), to which the names in `also` are added; without it, `columns` are the
+    observed names of every row. Rows are first reduced per (batch, shape) and only then per
+    batch, so a hot batch does not travel row by row, and what a batch gathers is as wide as
+    its schema.
     """
     batch = F.col(batch) if isinstance(batch, str) else batch
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)]
     base = df.withColumn("_batch", batch.cast("bigint"))
     count = F.count(F.lit(1)).alias("record_count")
     first = F.min(ingested_at).alias("_first")
-    if keys is None:
+    if shape is None:
         names = F.lit(sorted(columns)).cast("array<string>")
         totals = base.groupBy("_batch").agg(count, first, *nulls).withColumn("_keys", names)
     else:
-        per_shape = base.groupBy("_batch", keys.alias("_shape")).agg(count, first, *nulls)
-        totals = per_shape.groupBy("_batch").agg(
-            F.sum("record_count").alias("record_count"),
+        per_shape = base.groupBy("_batch", shape.alias("_shape")).agg(count, first, *nulls)
+        # One row per (shape, key); a shape's counts are taken from its first key only.
+        spread = F.posexplode_outer(_keys_of(F.col("_shape"), also)).alias("_pos", "_key")
+        per_key = per_shape.select("*", spread)
+        once = F.coalesce("_pos", F.lit(0)) == 0
+
+        def total(name: str) -> Column:
+            return F.sum(F.when(once, F.col(name))).alias(name)
+
+        totals = per_key.groupBy("_batch").agg(
+            total("record_count"),
             F.min("_first").alias("_first"),
-            *[F.sum(f"_n{i}").alias(f"_n{i}") for i in range(len(columns))],
-            F.array_sort(F.array_distinct(F.flatten(F.collect_set("_shape")))).alias("_keys"),
+            *[total(f"_n{i}") for i in range(len(columns))],
+            F.array_sort(F.collect_set("_key")).alias("_keys"),
         )
 
     rates = [f"_r{i}" for i in range(len(columns))]

@@ -74,15 +74,26 @@ def run_models(warehouse: Warehouse, as_of: str) -> None:
     )
 
 
-def heal_schema(warehouse: Warehouse, topic: Topic, batch_id: int, as_of: str) -> list[str]:
+class TooManyColumns(ValueError):
+    """A producer seems to send data as keys; nothing was added."""
+
+
+def heal_schema(
+    warehouse: Warehouse, topic: Topic, batch_id: int, as_of: str, at_most: int = drift.KEY_REPORT_LIMIT
+) -> list[str]:
     """Add a string column for every new, safely named key in the topic's quarantine.
 
     The stored change is what widens the table: reads name the column, and files without it
-    give NULL. Running streams pick the columns up when they are next started.
+    give NULL. Running streams pick the columns up when they are next started. More than
+    `at_most` new columns at once are refused, not cut.
     """
     quarantine = warehouse.read("quarantine_log").filter(F.col("topic") == topic.name)
     existing = warehouse.added_columns(topic.raw_table)
     found = drift.new_columns(drift.incoming_keys(quarantine), topic, existing)
+    found = written_once(found.filter("is_safe"), "new-columns")
+    width = found.count()
+    if width > at_most:
+        raise TooManyColumns(f"{topic.name}: {width} new columns, at most {at_most} are added")
     changes = written_once(
         drift.schema_change_rows(found, topic.raw_table, batch_id, as_of), "schema-change"
     )

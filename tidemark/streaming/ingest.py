@@ -35,9 +35,11 @@ def process_batch(
     folder named by (source, batch id), and all times come from the batch itself, so running
     a batch again after a failure replaces what it wrote before.
     """
-    extra = [c for c in topic.expected_columns if c not in topic.payload.names]
-    batch = batch.withColumn("_keys", profile.observed_keys("value", extra))
-    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    known = [c.lower() for c in drift.known_names(topic, healed)]
+    unknown = F.exists(F.json_object_keys("value"), lambda key: ~F.lower(key).isin(known))
+    batch = batch.select(
+        "*", profile.shape_of("value").alias("_shape"), unknown.alias("_drifted")
+    ).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if batch.isEmpty():
             return
@@ -52,11 +54,12 @@ def process_batch(
         letters = validate.dead_letters(rejected, topic.record_type)
         warehouse.write_load(letters, "dead_letters", source, batch_id, "quarantine_ts")
 
-        quarantined = _quarantined(annotated, topic, batch_id, healed)
+        quarantined = _quarantined(annotated, topic, batch_id)
         warehouse.write_load(quarantined, "quarantine_log", source, batch_id, "quarantine_ts")
 
+        metadata = [c for c in topic.expected_columns if c not in topic.payload.names]
         found = profile.profile_batches(
-            batch, topic.name, columns, F.lit(batch_id), keys=F.col("_keys")
+            batch, topic.name, columns, F.lit(batch_id), shape=F.col("_shape"), also=metadata
         )
         _store_profile(found, batch_id, topic, warehouse, source)
         if after is not None:
@@ -65,13 +68,9 @@ def process_batch(
         batch.unpersist()
 
 
-def _quarantined(
-    annotated: DataFrame, topic: Topic, batch_id: int, healed: tuple[str, ...]
-) -> DataFrame:
+def _quarantined(annotated: DataFrame, topic: Topic, batch_id: int) -> DataFrame:
     """Raw text of rejects and of good records with unknown keys, which healing reads."""
-    known = F.array(*[F.lit(c) for c in drift.known_names(topic, healed)])
-    drifted = F.size(F.array_except(F.transform("_keys", F.lower), known)) > 0
-    reason = F.coalesce("reject_reason", F.when(drifted, SCHEMA_DRIFT))
+    reason = F.coalesce("reject_reason", F.when(F.col("_drifted"), SCHEMA_DRIFT))
     return annotated.select(
         F.lit(topic.name).alias("topic"),
         F.lit(batch_id).cast("bigint").alias("batch_id"),
