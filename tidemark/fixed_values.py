@@ -41,6 +41,20 @@ SCHEMA_CHANGES = (
 DEAD_LETTERS = (
     "source string, batch_id bigint, reason string, record string, quarantine_ts timestamp_ntz"
 )
+SCORE_LOG = (
+    "anomaly_id bigint, profile_id bigint, topic string, batch_id bigint, anomaly_score double, "
+    "severity string, is_anomaly boolean, is_schema_drift boolean, scored_at string, "
+    "created_at timestamp_ntz"
+)
+SCHEMA_BASELINES = "topic string, baseline_batch_id bigint, baseline_hash string"
+DEAD_LETTER_REPLAYS = (
+    "letter_file string, letter_row bigint, outcome string, value string, "
+    "replayed_at timestamp_ntz"
+)
+QUALITY_RESULTS = (
+    "table_name string, check_kind string, column_name string, violations bigint, "
+    "passed boolean, checked_at timestamp_ntz"
+)
 REQUIRED_IN_PROFILES = (
     "topic", "batch_id", "record_count", "null_rate_avg", "null_rate_max", "schema_hash",
     "column_count",

@@ -121,7 +121,7 @@ def replay_dead_letters(
     that load, so a repeated run with the same id changes nothing. Letters beyond `cap` wait
     for the next run.
     """
-    if not _replays(warehouse, run_id, topic):
+    if _replays(warehouse, run_id, topic) is None:
         letters = _open_letters(warehouse, topic)
         ids = ("letter_file", "letter_row")
         repaired = repair.repair(letters, topic, ids)
@@ -138,7 +138,7 @@ def replay_dead_letters(
             decided, "dead_letter_replays", topic.name, run_id, "replayed_at"
         )
     decided = _replays(warehouse, run_id, topic)
-    if not decided:
+    if decided is None:
         return {}
     decided.filter(F.col("value").isNotNull()).select("value").write.mode("overwrite").text(
         f"{publish_to}/run={run_id}"
@@ -147,33 +147,26 @@ def replay_dead_letters(
 
 
 def _replays(warehouse: Warehouse, run_id: str, topic: Topic) -> DataFrame | None:
-    if not warehouse.exists("dead_letter_replays"):
+    rows = warehouse.loads("dead_letter_replays")
+    if rows is None:
         return None
-    rows = warehouse.spark.read.parquet(warehouse.path("dead_letter_replays")).filter(
-        (F.col("load_batch") == run_id) & (F.col("load_source") == topic.name)
-    )
+    rows = rows.filter((F.col("load_batch") == run_id) & (F.col("load_source") == topic.name))
     return None if rows.isEmpty() else rows
 
 
 def _open_letters(warehouse: Warehouse, topic: Topic) -> DataFrame:
-    if not warehouse.exists("dead_letters"):
+    letters = warehouse.loads("dead_letters")
+    if letters is None:
         return warehouse.read("dead_letters").select(
             "*", F.lit("").alias("letter_file"), F.lit(0).cast("bigint").alias("letter_row")
         )
-    letters = (
-        warehouse.spark.read.schema(fv.DEAD_LETTERS)
-        .parquet(warehouse.path("dead_letters"))
-        .filter(F.col("source") == topic.record_type)
-        .select(
-            "*",
-            F.col("_metadata.file_name").alias("letter_file"),
-            F.col("_metadata.row_index").alias("letter_row"),
-        )
+    mine = letters.filter(F.col("source") == topic.record_type).select(
+        "source", "batch_id", "reason", "record",
+        F.col("_metadata.file_name").alias("letter_file"),
+        F.col("_metadata.row_index").alias("letter_row"),
     )
-    if not warehouse.exists("dead_letter_replays"):
-        return letters
     done = warehouse.read("dead_letter_replays").select("letter_file", "letter_row")
-    return letters.join(done, ["letter_file", "letter_row"], "left_anti")
+    return mine.join(done, ["letter_file", "letter_row"], "left_anti")
 
 
 def train(
@@ -203,10 +196,7 @@ def score_profiles(
 
     All scores are logged, not only the anomalies, so a normal profile is scored once.
     """
-    profiles = warehouse.read("stream_profiles")
-    scores = (
-        warehouse.read("score_log") if warehouse.exists("score_log") else warehouse.read("anomaly_log")
-    )
+    profiles, scores = warehouse.read("stream_profiles"), warehouse.read("score_log")
     waiting = reports.unscored_profiles(profiles, scores, as_of, hours, limit=None)
     scored = written_once(
         forest.score(forest.feature_frame(waiting), model, as_of.replace(" ", "T")), "scores"

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import fixed_values as fv
+from tidemark.functions.scalars import as_of_ts
 from tidemark.operators.drift import healed_columns
 from tidemark.operators.upsert import KeyedTable
 from tidemark.plans.staging import HIGH_WATER, UNIQUE_KEYS
@@ -29,6 +31,10 @@ CONTRACTS: dict[str, str] = {
     "quarantine_log": fv.QUARANTINE_LOG,
     "schema_changes": fv.SCHEMA_CHANGES,
     "dead_letters": fv.DEAD_LETTERS,
+    "score_log": fv.SCORE_LOG,
+    "schema_baselines": fv.SCHEMA_BASELINES,
+    "dead_letter_replays": fv.DEAD_LETTER_REPLAYS,
+    "quality_results": fv.QUALITY_RESULTS,
 }
 NOT_NULL: dict[str, tuple[str, ...]] = {"stream_profiles": fv.REQUIRED_IN_PROFILES}
 # Named sources of the models
@@ -109,21 +115,31 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         if table in UNIQUE_KEYS:
             return self.keyed(table).exists()
+        return self.loads(table) is not None
+
+    def loads(self, table: str, added: Sequence[str] = ()) -> DataFrame | None:
+        """A loaded table with its load columns, None when it was never written.
+
+        The schema is given, not inferred, so no file is opened to plan a read.
+        """
+        schema = contract_of(table, added)
+        for name, kind in zip(LOAD_COLUMNS, ("date", "string", "string")):
+            schema = schema.add(name, kind)
         try:
-            self.spark.read.parquet(self.path(table))
-            return True
-        except AnalysisException:
-            return False
+            return self.spark.read.schema(schema).parquet(self.path(table))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
 
     def added_columns(self, table: str) -> list[str]:
         """String columns that healing has added to a raw table."""
         topic = next((t for t in TOPICS.values() if t.raw_table == table), None)
-        if topic is None or not self.exists("schema_changes"):
-            return []
-        return healed_columns(self.read("schema_changes"), topic)
+        changes = None if topic is None else self.loads("schema_changes")
+        return [] if changes is None else healed_columns(changes, topic)
 
-    def read(self, table: str, since=None) -> DataFrame:
-        """A table as a frame; a contracted table that was never written is empty.
+    def read(self, table: str, since: datetime | None = None) -> DataFrame:
+        """A table as a frame; one that was never written is empty.
 
         With `since`, only rows ingested after that time, which also skips older folders.
         Files written before a column was added read as NULL there.
@@ -131,16 +147,16 @@ class Warehouse:
         if table in UNIQUE_KEYS:
             return self.keyed(table).read()
         if table not in CONTRACTS:
-            return self.spark.read.parquet(self.path(table)).drop(*LOAD_COLUMNS)
-        schema = contract_of(table, self.added_columns(table))
-        if not self.exists(table):
+            return self.spark.read.parquet(self.path(table))
+        added = self.added_columns(table)
+        schema = contract_of(table, added)
+        rows = self.loads(table, added)
+        if rows is None:
             return self.spark.createDataFrame([], schema)
-        full = StructType([*schema.fields]).add("load_date", "date")
-        rows = self.spark.read.schema(full).parquet(self.path(table))
         if since is not None:
             stamp = "ingested_at" if "ingested_at" in schema.names else "created_at"
             rows = rows.filter(F.col("load_date") >= F.lit(since.date()))
-            rows = rows.filter(F.col(stamp) > F.lit(since).cast("timestamp_ntz"))
+            rows = rows.filter(F.col(stamp) > as_of_ts(since))
         return rows.select(*schema.names)
 
     def write_load(
@@ -149,7 +165,7 @@ class Warehouse:
         table: str,
         source: str,
         batch: int | str,
-        stamp: str,
+        stamp: str | Column,
         added: Sequence[str] = (),
     ) -> None:
         """Write one load into a folder of its own, (day of `stamp`, source, batch).
@@ -157,10 +173,10 @@ class Warehouse:
         Writing the same load again replaces it, so a repeated batch leaves no second copy.
         Errors reach the caller. `added` names healed columns that the load carries.
         """
-        if table in CONTRACTS:
-            df = conform(df, table, added)
+        day = F.col(stamp) if isinstance(stamp, str) else stamp
         (
-            df.withColumn("load_date", F.col(stamp).cast("date"))
+            conform(df, table, added)
+            .withColumn("load_date", day.cast("date"))
             .withColumn("load_source", F.lit(source))
             .withColumn("load_batch", F.lit(str(batch)))
             .hint("rebalance")

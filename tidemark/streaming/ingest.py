@@ -84,20 +84,15 @@ def _store_profile(
     found: DataFrame, batch_id: int, topic: Topic, warehouse: Warehouse, source: str
 ) -> None:
     """Store the profile; the first profile of a topic also becomes its baseline."""
-    if not _has_baseline(warehouse, topic):
-        first = profile.baselines(found).withColumn("stamp", F.lit("1970-01-01").cast("date"))
-        warehouse.write_load(first, "schema_baselines", topic.name, 0, "stamp")
+    if warehouse.read("schema_baselines").filter(F.col("topic") == topic.name).isEmpty():
+        first = profile.baselines(found)
+        one_place = F.lit("1970-01-01").cast("date")
+        warehouse.write_load(first, "schema_baselines", topic.name, 0, one_place)
     known = warehouse.read("schema_baselines")
     stored = profile.as_stored(profile.with_baseline(found, known))
     warehouse.write_load(stored, "stream_profiles", source, batch_id, "created_at")
 
 
-def _has_baseline(warehouse: Warehouse, topic: Topic) -> bool:
-    if not warehouse.exists("schema_baselines"):
-        return False
-    return not warehouse.read("schema_baselines").filter(F.col("topic") == topic.name).isEmpty()
-
-
 def start(
     raw: DataFrame,
     topic: Topic,
