@@ -23,6 +23,12 @@ def test_merge_is_null_safe_and_adds_columns(spark, rows):
     assert rows(up.merge(old.limit(0), new, ["k", "k2"]), "k", "v") == [("a", 9)]
 
 
+def test_merge_joins_by_hash_of_keys(spark):
+    old, new = frame(spark, ("a", None, 1, "2024-01-01")), frame(spark, ("a", "x", 1, "2024-01-01"))
+    plan = up.without_keys(old, new, ["k", "k2"])._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_newer_than(spark, rows):
     old = frame(spark, ("a", None, 1, "2024-01-01"))
     src = frame(spark, ("b", None, 1, "2024-01-01"), ("c", None, 2, "2024-01-02"))

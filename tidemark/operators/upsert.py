@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tidemark.session import written_once
+from tidemark.session import written_to
 
 
 CELL = ("load_day", "bucket")
@@ -89,7 +89,7 @@ class KeyedTable:
             self._write(first, self.path)
             self._write_text(first.drop(*CELL).schema.json(), "_schema")  # now the table exists
             return
-        placed = written_once(self._placed(incoming), "incoming")
+        placed = written_to(self._placed(incoming), f"{self.path}/_incoming")
         target = self._cells()
         holding = _key_join(target, placed, ("bucket", *self.keys), "left_semi")
         cells = holding.select(*CELL).union(placed.select(*CELL))

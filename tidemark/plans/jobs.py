@@ -9,7 +9,7 @@ from tidemark import fixed_values as fv
 from tidemark.functions import scalars as fx
 from tidemark.operators import drift, forest, quality, repair
 from tidemark.plans import marts, reports, staging
-from tidemark.session import written_once
+from tidemark.session import written_to
 from tidemark.sources.tables import Warehouse
 from tidemark.topics import Topic
 
@@ -56,7 +56,9 @@ def check_tables(warehouse: Warehouse, tables: list[str], as_of: str, stage: str
         if name in quality.CHECKS:
             rows = quality.run_checks(warehouse.read(name), name)
             results = rows if results is None else results.unionByName(rows)
-    results = written_once(results.withColumn("checked_at", fx.as_of_ts(as_of)), "checks")
+    results = written_to(
+        results.withColumn("checked_at", fx.as_of_ts(as_of)), warehouse.work(f"checks-{stage}")
+    )
     warehouse.write_load(results, "quality_results", stage, as_of.replace(":", "-"), "checked_at")
     return results
 
@@ -90,13 +92,11 @@ def heal_schema(
     quarantine = warehouse.read("quarantine_log").filter(F.col("topic") == topic.name)
     existing = warehouse.added_columns(topic.raw_table)
     found = drift.new_columns(drift.incoming_keys(quarantine), topic, existing)
-    found = written_once(found.filter("is_safe"), "new-columns")
+    found = written_to(found.filter("is_safe"), warehouse.work(f"new-columns-{topic.name}"))
     width = found.count()
     if width > at_most:
         raise TooManyColumns(f"{topic.name}: {width} new columns, at most {at_most} are added")
-    changes = written_once(
-        drift.schema_change_rows(found, topic.raw_table, batch_id, as_of), "schema-change"
-    )
+    changes = drift.schema_change_rows(found, topic.raw_table, batch_id, as_of)
     row = changes.first()
     if row is None:
         return []
@@ -198,10 +198,12 @@ def score_profiles(
     """
     profiles, scores = warehouse.read("stream_profiles"), warehouse.read("score_log")
     waiting = reports.unscored_profiles(profiles, scores, as_of, hours, limit=None)
-    scored = written_once(
-        forest.score(forest.feature_frame(waiting), model, as_of.replace(" ", "T")), "scores"
+    scored = written_to(
+        forest.score(forest.feature_frame(waiting), model, as_of.replace(" ", "T")),
+        warehouse.work("scores"),
     )
     # The score log comes last: it is what marks a profile as done.
     warehouse.write_load(forest.alerts(scored), "anomaly_log", "scoring", run_id, "created_at")
     warehouse.write_load(scored, "score_log", "scoring", run_id, "created_at")
-    return reports.remediation_actions(scored)
+    mine = warehouse.loads("score_log").filter(F.col("load_batch") == run_id)
+    return reports.remediation_actions(mine)

@@ -48,11 +48,15 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
 
 
 def written_once(df: DataFrame, purpose: str) -> DataFrame:
-    """Write the frame to the shared folder and read it back.
+    """Write the frame to a new folder of the shared folder and read it back."""
+    return written_to(df, new_folder(df.sparkSession, purpose))
+
+
+def written_to(df: DataFrame, path: str) -> DataFrame:
+    """Write the frame to a folder, in place of what is there, and read it back.
 
     For intermediate tables that several later steps read: they are computed once, survive the
     loss of executors, and have a known size when the next join is planned.
     """
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

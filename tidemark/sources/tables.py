@@ -75,10 +75,11 @@ def conform(df: DataFrame, table: str, added: Sequence[str] = ()) -> DataFrame:
     contract = contract_of(table, added)
     missing = [f.name for f in contract.fields if f.name not in df.columns]
     unknown = [c for c in df.columns if c not in contract.names]
+    got = dict(df.dtypes)
     wrong = [
-        f"{f.name} {df.schema[f.name].dataType.simpleString()} not {f.dataType.simpleString()}"
+        f"{f.name} {got[f.name]} not {f.dataType.simpleString()}"
         for f in contract.fields
-        if f.name in df.columns and df.schema[f.name].dataType != f.dataType
+        if f.name in got and got[f.name] != f.dataType.simpleString()
     ]
     if missing or unknown or wrong:
         raise ContractError(f"{table}: missing {missing}, unknown {unknown}, types {wrong}")
@@ -107,6 +108,10 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{LAYERS[table]}/{table}"
 
+    def work(self, purpose: str) -> str:
+        """Folder for an intermediate table; the next run of the same step replaces it."""
+        return f"{self.root}/_work/{purpose}"
+
     def keyed(self, table: str) -> KeyedTable:
         return KeyedTable(
             self.spark, self.path(table), UNIQUE_KEYS[table], HIGH_WATER[table], self.buckets
