@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, token_counts
-from tidemark.llm.common import table
+from tidemark.llm import byte_bpe, simhash, token_counts
+from tidemark.llm.common import stored, table
 
 QUERIES = {}
 ORACLE = {}
@@ -37,3 +37,11 @@ def op5_byte_bpe(spark, sf):
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_simhash(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    hashed = stored(simhash.fingerprints(docs).select("doc_id", "fingerprint"), "simhash")
+    found = simhash.near_duplicates(hashed)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
