@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, simhash, token_counts
+from tidemark.llm import byte_bpe, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
+from tidemark.session import new_folder
 
 QUERIES = {}
 ORACLE = {}
@@ -45,3 +46,39 @@ def op10_simhash(spark, sf):
     hashed = stored(simhash.fingerprints(docs).select("doc_id", "fingerprint"), "simhash")
     found = simhash.near_duplicates(hashed)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op8_warc(spark, sf):
+    folder = new_folder(spark, "warc")
+    warc.write(warc.page_records(table(spark, sf, "pages"), "2024-01-01T00:00:00Z"), folder)
+
+    def number(field):
+        return F.col("fields")[field].cast("long")
+
+    responses = warc.read(spark, folder).filter("record_type = 'response'").select(
+        number("X-Page-Id").alias("page_id"),
+        F.length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast("long").alias("refers_to"),
+    )
+    revisits = warc.read(spark, folder, payload=False).filter("record_type = 'revisit'").select(
+        number("X-Page-Id").alias("page_id"),
+        number("X-Payload-Length").alias("payload_bytes"),
+        "payload_digest",
+        "record_type",
+        number("X-Refers-To-Page").alias("refers_to"),
+    )
+    return responses.unionByName(revisits)
+
+
+ORACLE["op8_warc"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (SELECT d, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first < page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d
+"""
