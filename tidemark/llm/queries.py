@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, language_id, nearest, quality, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -82,3 +82,29 @@ SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
        CASE WHEN first < page_id THEN first END AS refers_to
 FROM p LEFT JOIN f ON p.d = f.d
 """
+
+
+@query
+def op3_quality(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    seen = stored(quality.features(docs).select("doc_id", "features"), "quality")
+    held_out = common.crc_remainder("doc_id", 5) == 0
+    labels = table(spark, sf, "labels").select("doc_id", "quality")
+    model = quality.fit(stored(seen.filter(~held_out).join(labels, "doc_id").select("features", "quality"), "quality"))
+    scored = quality.score(seen, model)
+    return scored.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op4_language_id(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    held_out = common.crc_remainder("doc_id", 5) == 0
+    model = language_id.fit(docs.filter(~held_out))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"), "lang_rejected")
+
+
+@query
+def op6_nearest(spark, sf):
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return nearest.search(vectors, F.col("vec_id") % 20 == 0, 20)
