@@ -11,8 +11,8 @@ tokens' raw bytes.
 from __future__ import annotations
 
 import base64
+from array import array
 from functools import cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ OVERLAP = 512
 #: A match is sure if so many characters of the text are known behind it: a contraction is decided
 #: by two more characters, a run or its white space by one.
 SURE = 3
-_SLICE = 4_000_000
-_REMEMBERED = 300_000
+_SLICE = 1_000_000
+_REMEMBERED = 100_000
 
 
 class Encoder:
@@ -44,16 +44,17 @@ class Encoder:
         self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
         for raw, i in ranks.items():
             self.bytes_of[i] = raw
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.before: dict[str, tuple[int, ...]] = {}
+        self.known: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
 
-    def new(self, piece: str) -> tuple[int, ...]:
+    def new(self, piece: str) -> bytes:
         if len(self.known) >= _REMEMBERED:
             self.known, self.before = {}, self.known
-        ids = self.known[piece] = self.before.get(piece) or tuple(self.merge.encode_ordinary(piece))
+        ids = self.known[piece] = self.before.get(piece) or array("i", self.merge.encode_ordinary(piece)).tobytes()
         return ids
 
-    def ids(self, pieces: list[str]) -> list[tuple[int, ...]]:
+    def ids(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each piece, four bytes each."""
         new = self.new
         return [self.known.get(p) or new(p) for p in pieces]
 
@@ -62,12 +63,12 @@ class Encoder:
         return self.listed(self.ids(pieces), counts)
 
     @staticmethod
-    def listed(ids: list[tuple[int, ...]], counts: np.ndarray) -> pa.ListArray:
+    def listed(ids: list[bytes], counts: np.ndarray) -> pa.ListArray:
         """One list per text from the ids of its pieces."""
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         ends = np.concatenate(([0], np.cumsum(sizes)))
-        flat = np.fromiter(chain.from_iterable(ids), np.int32, int(ends[-1]))
-        offsets = ends[np.concatenate(([0], np.cumsum(counts)))].astype(np.int32)
+        flat = np.frombuffer(b"".join(ids), np.int32)
+        offsets = (ends[np.concatenate(([0], np.cumsum(counts)))] // 4).astype(np.int32)
         return pa.ListArray.from_arrays(offsets, flat)
 
 
@@ -195,8 +196,8 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
 
     def batches_of(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
+            for at in range(0, batch.num_rows, 100):
+                part = batch.slice(at, 100)
                 yield pa.RecordBatch.from_arrays([part["_row"], pa.array(run(part), pa.binary())], names=["_row", out])
 
     return source.mapInArrow(batches_of, schema).select(*[F.col(f"_row.`{c}`").alias(c) for c in kept.columns], out)

@@ -20,9 +20,9 @@ from pyspark.sql import functions as F
 from tidemark.llm import pretokens
 from tidemark.llm.common import mapped, texts_of
 
-_SLICE = 4_000_000
-_REMEMBERED = 300_000
-_PAIRS_REMEMBERED = 1_000_000
+_SLICE = 1_000_000
+_REMEMBERED = 200_000
+_PAIRS_REMEMBERED = 300_000
 NEVER = 1 << 30
 
 
