@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, common, language_id, nearest, quality, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, language_id, line_templates, nearest, quality, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -108,3 +108,10 @@ def op4_language_id(spark, sf):
 def op6_nearest(spark, sf):
     vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
     return nearest.search(vectors, F.col("vec_id") % 20 == 0, 20)
+
+
+@query
+def op2_line_templates(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    cut = line_templates.dedup(docs)
+    return cut.select("doc_id", "text", F.coalesce(F.size("dropped_lines"), F.lit(0)).alias("n_dropped"), "dropped_lines")
