@@ -31,8 +31,12 @@ _SEEDS = (1, 2, 3)
 _VARIABLE = re.compile(r"\S*\d\S*")
 
 
-def parse(line: str) -> tuple[int, list[int]]:
-    """Number of tokens, and the line's templates from the narrowest to the widest, as hashes.
+def _hash(text: str, seed: int) -> int:
+    return xxhash.xxh64_intdigest(text, seed) - (1 << 63)
+
+
+def parse(line: str) -> tuple[int, int, list[int]]:
+    """Number of tokens, the leaf, and the templates from the narrowest to the widest, as hashes.
 
     Every template includes the leaf: the number of tokens and the leading ones.
     """
@@ -40,12 +44,12 @@ def parse(line: str) -> tuple[int, list[int]]:
     leaf = f"{len(tokens)} {' '.join(tokens[:LEADING])}\n"
     rest = tokens[LEADING:]
     bodies = [rest, rest[::2], rest[1::2]] if len(tokens) >= SHORT else [rest]
-    return len(tokens), [xxhash.xxh64_intdigest(leaf + " ".join(b), s) - (1 << 63) for b, s in zip(bodies, _SEEDS)]
+    return len(tokens), _hash(leaf, 0), [_hash(leaf + " ".join(b), s) for b, s in zip(bodies, _SEEDS)]
 
 
 def line_templates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """A row per template of each line that isn't blank: doc_id, text_hash, line (its number from 0),
-    tokens, template, before and after (templates of the neighbouring lines; at an end of the text
+    tokens, template, before and after (leaves of the neighbouring lines; at an end of the text
     the other neighbour, 0 without any) and again (an earlier line of the document has it)."""
     source = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), F.col(f"`{text}`").alias("_text"))
     names = ["doc_id", "text_hash", "line", "tokens", "template", "before", "after", "again"]
@@ -56,9 +60,9 @@ def line_templates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 rows, docs = [], []
                 for i, whole in enumerate(texts_of(part, "_text")):
                     found = [(n, *parse(x)) for n, x in enumerate(whole.split("\n")) if x.strip()]
-                    own = [t[0] for _, _, t in found]
+                    own = [leaf for _, _, leaf, _ in found]
                     seen: set[int] = set()
-                    for j, (n, size, templates) in enumerate(found):
+                    for j, (n, size, _, templates) in enumerate(found):
                         before = own[j - 1] if j else (own[1] if len(own) > 1 else 0)
                         after = own[j + 1] if j + 1 < len(own) else (own[j - 1] if j else 0)
                         for t in templates:
