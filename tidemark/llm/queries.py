@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, common, language_id, line_templates, nearest, quality, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, decontaminate, language_id, line_templates, nearest, quality, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -115,3 +115,10 @@ def op2_line_templates(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     cut = line_templates.dedup(docs)
     return cut.select("doc_id", "text", F.coalesce(F.size("dropped_lines"), F.lit(0)).alias("n_dropped"), "dropped_lines")
+
+
+@query
+def op7_decontaminate(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    marked = decontaminate.mark(docs, table(spark, sf, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
+    return marked.select("doc_id", "leak.*")
