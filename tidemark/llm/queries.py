@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, common, decontaminate, language_id, line_templates, nearest, quality, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, language_id, line_templates, nearest, quality, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -122,3 +122,11 @@ def op7_decontaminate(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     marked = decontaminate.mark(docs, table(spark, sf, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
     return marked.select("doc_id", "leak.*")
+
+
+@query
+def op9_context_mixing(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    held_out = F.coalesce(common.crc_remainder("doc_id", 7) == 2, F.lit(False))
+    scored = context_mixing.score(docs, ~held_out)
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
