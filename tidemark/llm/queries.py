@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
@@ -130,3 +131,8 @@ def op9_context_mixing(spark, sf):
     held_out = F.coalesce(common.crc_remainder("doc_id", 7) == 2, F.lit(False))
     scored = context_mixing.score(docs, ~held_out)
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@query
+def pipeline(spark, sf):
+    return corpus_pipeline.run(spark, sf)

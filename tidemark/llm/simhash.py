@@ -12,6 +12,7 @@ Each posting passes on only what links its members, at most one link per member.
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -34,6 +35,7 @@ _CELLS = 4_000_000
 _BITS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 _AT = (np.arange(POSITIONS) * 256)[None, :]
 
+_MIX = np.uint64(0xBF58476D1CE4E5B9)
 KEYS = [k for k in combinations(range(POSITIONS), SHARED - 1) if np.bitwise_xor.reduce(k) == 0]
 
 
@@ -57,27 +59,33 @@ def shingle_hashes(text: bytes, words_each: int) -> list[int]:
     return [digest(joined[a:b], SEED) for a, b in spans]
 
 
-def fingerprint(text: bytes, words_each: int) -> int:
-    """A bit is 1 if it is set in over half of the shingles' hashes."""
-    hashes = shingle_hashes(text, words_each)
-    if not hashes:
-        return 0
-    raw = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, POSITIONS)
-    tally = np.bincount((raw + _AT).ravel(), minlength=256 * POSITIONS).reshape(POSITIONS, 256) @ _BITS
-    return int(np.packbits(tally * 2 > len(hashes), bitorder="little").view(np.uint64)[0])
+def fingerprint(text: bytes, words_each: int, variants: int = 1) -> list[int]:
+    """A bit is 1 if it is set in over half of the shingles' hashes; more variants mix these anew."""
+    hashes = np.array(shingle_hashes(text, words_each), np.uint64)
+    if not len(hashes):
+        return [0] * variants
+    out = []
+    for v in range(variants):
+        if v:
+            hashes = (hashes ^ (hashes >> np.uint64(29))) * _MIX
+        raw = (hashes ^ (hashes >> np.uint64(32)) if v else hashes).view(np.uint8).reshape(-1, POSITIONS)
+        tally = np.bincount((raw + _AT).ravel(), minlength=256 * POSITIONS).reshape(POSITIONS, 256) @ _BITS
+        out.append(int(np.packbits(tally * 2 > len(hashes), bitorder="little").view(np.uint64)[0]))
+    return out
 
 
-def fingerprints(df: DataFrame, text: str = "text", words_each: int = 3, out: str = "fingerprint") -> DataFrame:
-    """All rows and columns, with the 64-bit fingerprint of each whole text as a signed long.
+def fingerprints(df: DataFrame, text: str = "text", words_each: int = 3, out: tuple[str, ...] = ("fingerprint",)) -> DataFrame:
+    """All rows and columns, with a 64-bit fingerprint of each whole text as a signed long; with
+    more names in `out`, as many fingerprints from independent mixtures of the hashes.
 
-    Texts without a word, or null, get 0. A column named `out` is replaced.
+    Texts without a word, or null, get 0. Columns with these names are replaced.
     """
 
     def run(part):
-        found = [fingerprint(t, words_each) for t in bytes_of(part, "_text")]
-        return [pa.array(np.array(found, np.uint64).view(np.int64))]
+        found = [fingerprint(t, words_each, len(out)) for t in bytes_of(part, "_text")]
+        return [pa.array(np.ascontiguousarray(c).view(np.int64)) for c in np.array(found, np.uint64).reshape(-1, len(out)).T]
 
-    return mapped(df, text, _SLICE, {out: "long"}, run)
+    return mapped(df, text, _SLICE, dict.fromkeys(out, "long"), run)
 
 
 # ------------------------------------------------------------------------------ links
@@ -230,3 +238,20 @@ def near_duplicates(df: DataFrame, doc_id: str = "doc_id", fingerprint: str = "f
     known = rooted.join(whole, "root").select("node", out)
     joined = df.join(known, df[fingerprint] == known["node"], "left")
     return joined.select(*[df[c] for c in df.columns if c != out], F.when(F.col("node").isNull(), df[doc_id]).otherwise(F.col(out)).alias(out))
+
+
+def groups(df: DataFrame, node: str, columns: tuple[str, ...], most: int = MOST_BITS, out: str = "group") -> DataFrame:
+    """(node, out) of each row: the smallest node reachable over links of any of the fingerprints.
+
+    node must be different for each row and not null. df must be stored.
+    """
+    edges = []
+    for c in columns:
+        first = df.groupBy(F.col(c).alias("f")).agg(F.min(node).alias("first"))
+        edges.append(df.join(first, df[c] == first["f"]).filter(F.col(node) != F.col("first")).select(F.col(node).alias("a"), F.col("first").alias("b")))
+        found = links(df, c, most)
+        ends = [first.select(F.col("f").alias(x), F.col("first").alias(f"first_{x}")) for x in ("a", "b")]
+        edges.append(found.join(ends[0], "a").join(ends[1], "b").select(F.col("first_a").alias("a"), F.col("first_b").alias("b")))
+    found = components(reduce(DataFrame.unionByName, edges), "a", "b")
+    joined = df.select(node).join(found, df[node] == found["node"], "left")
+    return joined.select(df[node], F.coalesce("root", df[node]).alias(out))
