@@ -51,16 +51,23 @@ def test_other_reasons_sources_and_unreadable_records(spark):
     assert counts == {"skipped": 2, "error": 1}
 
 
-def test_replay_cap_order_and_stamp(spark):
-    df = letters(spark, *[("order", b, "NULL_REQUIRED_FIELD", "{%s}" % OK) for b in (3, 1, 2)])
-    out = rp.replayable(rp.repair(df, ORDERS), "2024-01-01T00:00:00", ("batch_id",), cap=2)
+def test_replay_takes_all_and_stamps(spark):
+    df = letters(spark, *[("order", b, "NULL_REQUIRED_FIELD", "{%s}" % OK) for b in range(700)])
+    out = rp.replayable(rp.repair(df, ORDERS), "2024-01-01T00:00:00")
     got = out.collect()
-    assert sorted(r.batch_id for r in got) == [1, 2]
+    assert sorted(r.batch_id for r in got) == list(range(700))
     assert {r["_original_reason"] for r in got} == {"NULL_REQUIRED_FIELD"}
     text = rp.as_events(out, ORDERS).first().value
     assert '"order_id":"1"' in text and '"_reprocessed_at":"2024-01-01T00:00:00"' in text
 
 
+def test_healed_columns_survive_repair(spark):
+    df = letters(spark, ("order", 1, "NULL_REQUIRED_FIELD", '{%s,"Coupon":"A"}' % OK), ("order", 1, "NULL_REQUIRED_FIELD", '{%s,"Coupon":"A","coupon":"B"}' % OK))
+    out = rp.replayable(rp.repair(df, ORDERS, healed=("coupon",)), "2024-01-01T00:00:00")
+    assert sorted(r.coupon for r in out.collect()) == ["A", '["A","B"]']
+    assert all('"coupon"' in r.value for r in rp.as_events(out, ORDERS, ("coupon",)).collect())
+
+
 def test_repair_never_loses_a_row(spark):
     df = letters(spark, *[("order", i, r, "{%s}" % OK) for i in range(9)
                           for r in ("NULL_REQUIRED_FIELD", "BUSINESS_RULE_VIOLATION", "X")])

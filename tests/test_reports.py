@@ -74,9 +74,9 @@ def test_unscored_profiles_oldest_first(spark):
               "schema_hash", "expected_schema_hash"):
         profiles = profiles.withColumn(c, F.lit("x"))
     scored = log(spark, (9, 1, "a", 1, -0.3, "HIGH", False, "2024-01-10T11:00:00"))
-    got = rp.unscored_profiles(profiles, scored, "2024-01-10 12:00:00")
+    got = rp.unscored_profiles(profiles, scored, "2024-01-10 12:00:00", hours=2)
     assert [r.profile_id for r in got.collect()] == [2, 3]
-    assert rp.unscored_profiles(profiles, scored, "2024-01-10 12:00:00", limit=1).first().profile_id == 2
+    assert [r.profile_id for r in rp.unscored_profiles(profiles, scored, "2024-01-10 12:00:00").collect()] == [4, 2, 3]
 
 
 def test_remediation_choice(spark):
@@ -91,5 +91,5 @@ def test_remediation_choice(spark):
 
 def test_top_n_needs_no_full_sort(spark):
     df = log(spark, (1, 1, "a", 1, -0.3, "HIGH", True, DAY))
-    plan = rp.recent_anomalies(df, DAY)._jdf.queryExecution().executedPlan().toString()
+    plan = rp.recent_anomalies(df, DAY, limit=100)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan

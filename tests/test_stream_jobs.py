@@ -48,7 +48,7 @@ def run(spark, folder, topic, warehouse, tmp_path, **kw):
 
 @pytest.fixture
 def warehouse(spark, tmp_path):
-    return Warehouse(spark, str(tmp_path / "tables"), buckets=2)
+    return Warehouse(spark, str(tmp_path / "tables"))
 
 
 def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_path, warehouse, rows):
@@ -119,9 +119,9 @@ def test_stream_upsert_equals_batch_staging(spark, tmp_path, warehouse, rows):
     src = tmp_path / "orders"
     write(src, "a.txt", [order(1, amount=1.0), order(2)])
     write(src, "b.txt", [order(1, amount=9.0), order(3)])
-    target = warehouse.keyed("stg_orders")
+    target = warehouse.staged("stg_orders")
     run(spark, src, ORDERS, warehouse, tmp_path,
-        after=lambda good, batch_id: target.upsert(staging.stg_orders(good)))
+        after=lambda good, batch_id: target.append(staging.stg_orders(good), f"{batch_id:012}"))
     batch = staging.stg_orders(warehouse.read("orders_raw"))
     assert rows(target.read(), "order_id", "amount") == rows(batch, "order_id", "amount")
     assert ("O1", 9.0) in rows(target.read(), "order_id", "amount")
@@ -153,11 +153,10 @@ def test_replay_publishes_each_letter_once(spark, tmp_path, warehouse):
     write(src, "a.txt", [order(1, amount=-4.0), order(2, amount=-5.0), order(3, amount=0), order(4)])
     run(spark, src, ORDERS, warehouse, tmp_path)
     out = tmp_path / "orders_again"
-    first = jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r1", AS_OF, cap=1)
-    assert first == {"reprocessed": 1, "unfixable": 1}
-    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r1", AS_OF, cap=1) == first
-    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r2", AS_OF) == {"reprocessed": 1}
-    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r3", AS_OF) == {}
+    first = jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r1", AS_OF)
+    assert first == {"reprocessed": 2, "unfixable": 1}
+    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r1", AS_OF) == first
+    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r2", AS_OF) == {}
     texts = [json.loads(r.value) for r in spark.read.text(str(out)).collect()]
     assert sorted(t["amount"] for t in texts) == [4.0, 5.0]
     assert jobs.replay_dead_letters(warehouse, INVENTORY, str(tmp_path / "i"), "r1", AS_OF) == {}
@@ -168,6 +167,59 @@ def test_replay_publishes_each_letter_once(spark, tmp_path, warehouse):
     assert not any(r.is_schema_drift for r in drifted.collect() if r.batch_id == 0)
 
 
+def test_a_letter_of_a_repeated_batch_is_published_once(spark, tmp_path, warehouse):
+    raw = spark.createDataFrame([(order(1, amount=-4.0),), (order(1, amount=-4.0),)], "value string")
+    batch = events.parse(raw, ORDERS, F.lit(AS_OF).cast("timestamp_ntz"))
+    out = tmp_path / "again"
+    ingest.process_batch(batch, 3, ORDERS, warehouse, "s")
+    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r1", AS_OF) == {"reprocessed": 2}
+    ingest.process_batch(batch, 3, ORDERS, warehouse, "s")  # new files, same letters
+    assert jobs.replay_dead_letters(warehouse, ORDERS, str(out), "r2", AS_OF) == {}
+    assert spark.read.text(str(out)).count() == 2
+
+
+def test_a_healed_column_is_replayed(spark, tmp_path, warehouse):
+    raw = spark.createDataFrame([(order(1, amount=-4.0, coupon="A"),), (order(2),)], "value string")
+    batch = events.parse(raw, ORDERS, F.lit(AS_OF).cast("timestamp_ntz"))
+    ingest.process_batch(batch, 0, ORDERS, warehouse, "s")
+    assert jobs.heal_schema(warehouse, ORDERS, 0, AS_OF) == ["coupon"]
+    healed = events.parse(raw, ORDERS, F.lit(AS_OF).cast("timestamp_ntz"), healed=("coupon",))
+    ingest.process_batch(healed, 0, ORDERS, warehouse, "s", healed=("coupon",))
+    jobs.replay_dead_letters(warehouse, ORDERS, str(tmp_path / "o"), "r1", AS_OF)
+    assert [json.loads(r.value).get("coupon") for r in spark.read.text(str(tmp_path / "o")).collect()] == ["A"]
+
+
+def test_loads_are_staged_whatever_their_times(spark, warehouse):
+    def profile(i, topic, at):
+        return spark.range(1).select(
+            F.lit(i).cast("bigint").alias("profile_id"), F.lit(topic).alias("topic"), F.lit(0).cast("bigint").alias("batch_id"),
+            F.lit(1).cast("bigint").alias("record_count"), F.lit(0.0).alias("null_rate_avg"), F.lit(0.0).alias("null_rate_max"),
+            F.lit("h").alias("schema_hash"), F.lit(1).alias("column_count"), F.lit("h").alias("expected_schema_hash"),
+            F.lit("{}").alias("null_rates_json"), F.lit(at).alias("profile_ts"), F.lit(at).cast("timestamp_ntz").alias("created_at"))
+
+    loads = [(1, "orders_topic", "2024-01-01 10:00:30"), (2, "inventory_topic", "2024-01-01 10:00:30"), (3, "clickstream_topic", "2024-01-01 10:00:20")]
+    for i, topic, at in loads:
+        warehouse.write_load(profile(i, topic, at), "stream_profiles", topic, 0, "created_at")
+        jobs.run_staging(warehouse, f"2024-02-01 00:00:0{i}")
+    assert sorted(r.profile_id for r in warehouse.read("stg_stream_profiles").collect()) == [1, 2, 3]
+    assert jobs.unstaged(warehouse, "stg_stream_profiles", "stream_profiles").isEmpty()
+
+
+def test_many_new_keys_are_all_healed(spark, warehouse):
+    raw = spark.createDataFrame([(click(1, **{f"k{i}": 1 for i in range(250)}),)], "value string")
+    ingest.process_batch(events.parse(raw, CLICKS, F.lit(AS_OF).cast("timestamp_ntz")), 0, CLICKS, warehouse, "s")
+    assert len(jobs.heal_schema(warehouse, CLICKS, 0, AS_OF)) == 250
+
+
+def test_retention_removes_old_days(spark, warehouse):
+    raw = spark.createDataFrame([(order(1, amount=-1.0),)], "value string")
+    for i, day in enumerate(("2023-10-01", "2024-01-20")):
+        batch = events.parse(raw, ORDERS, F.lit(f"{day} 00:00:00").cast("timestamp_ntz"))
+        ingest.process_batch(batch, i, ORDERS, warehouse, "s")
+    jobs.apply_retention(warehouse, AS_OF)
+    assert [str(r.quarantine_ts)[:10] for r in warehouse.read("quarantine_log").collect()] == ["2024-01-20"]
+
+
 def test_train_score_and_act(spark, tmp_path, warehouse):
     stamp = F.expr("timestamp_ntz'2024-01-31 22:00:00' - make_dt_interval(0, 0, cast(id AS int))")
     profiles = spark.range(120).select(
@@ -216,7 +268,15 @@ def test_views_answer_sql(spark, warehouse):
 
 def test_kafka_options():
     opts = events.kafka_options(ORDERS, "host:1")
-    assert opts["subscribe"] == "orders_topic" and opts["maxOffsetsPerTrigger"] == "5000"
-    assert (opts["startingOffsets"], opts["failOnDataLoss"]) == ("latest", "false")
-    assert events.kafka_options(CLICKS, "h")["maxOffsetsPerTrigger"] == "20000"
-    assert "maxOffsetsPerTrigger" not in events.kafka_options(INVENTORY, "h")
+    assert opts["subscribe"] == "orders_topic" and "maxOffsetsPerTrigger" not in opts
+    assert (opts["startingOffsets"], opts["failOnDataLoss"]) == ("latest", "true")
+    opts = events.kafka_options(CLICKS, "h", per_trigger=9, starting="earliest", fail_on_data_loss=False)
+    assert (opts["maxOffsetsPerTrigger"], opts["startingOffsets"], opts["failOnDataLoss"]) == ("9", "earliest", "false")
+
+
+def test_messages_for_kafka(spark):
+    rows = spark.createDataFrame([("k", "v")], "id string, value string")
+    message, options = events.for_kafka(rows, "dead_letters", "host:1", key="id")
+    assert [tuple(r) for r in message.collect()] == [("k", "v")] and message.columns == ["key", "value"]
+    assert options == {"kafka.bootstrap.servers": "host:1", "topic": "dead_letters"}
+    assert events.for_kafka(rows, "t", "h")[0].first().key is None

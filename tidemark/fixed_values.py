@@ -48,9 +48,12 @@ SCORE_LOG = (
 )
 SCHEMA_BASELINES = "topic string, baseline_batch_id bigint, baseline_hash string"
 DEAD_LETTER_REPLAYS = (
-    "letter_file string, letter_row bigint, outcome string, value string, "
+    "letter_id string, copies bigint, outcome string, value string, "
     "replayed_at timestamp_ntz"
 )
+STAGED_LOADS = (
+    "model string, source_load_source string, source_load_batch string, staged_at timestamp_ntz"
+)
 QUALITY_RESULTS = (
     "table_name string, check_kind string, column_name string, violations bigint, "
     "passed boolean, checked_at timestamp_ntz"
@@ -82,7 +85,6 @@ CLICK_DEFAULTS = {
     "device": "unknown", "browser": "unknown", "referrer": "unknown", "action": "view",
 }
 INVENTORY_DEFAULTS = {"last_movement": "unknown", "restock_flag": False, "restock_qty": 0}
-REPLAY_CAP = 500
 # Keys that producers and the replay add for their own use; they are never new columns
 INTERNAL_KEYS = ("_fault_injected", "_reprocessed_at", "_original_reason")
 
@@ -91,9 +93,7 @@ INTERNAL_KEYS = ("_fault_injected", "_reprocessed_at", "_original_reason")
 # ---------------------------------------------------------------------------
 QUARANTINE_DAYS = 90
 TRIGGER_INTERVAL = "30 seconds"
-ORDERS_PER_TRIGGER = 5000
-CLICKS_PER_TRIGGER = 20000
-KAFKA_OPTIONS = {"startingOffsets": "latest", "failOnDataLoss": "false"}
+STARTING_OFFSETS = "latest"
 
 # ---------------------------------------------------------------------------
 # Accepted values and bands

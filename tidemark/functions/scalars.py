@@ -34,26 +34,25 @@ def as_of_ts(as_of: str | datetime) -> Column:
 
 
 def round_to(c: Column | str, digits: int) -> Column:
-    """Decimal half-up rounding of a double; NaN, infinities and huge values pass unchanged."""
-    c = _col(c)
-    as_decimal = c.try_cast("decimal(38,10)")
-    return F.coalesce(F.round(as_decimal, digits).cast("double"), c)
+    """Half-up rounding of a double's decimal digits; NaN and infinities pass unchanged."""
+    return F.round(_col(c).cast("double"), digits)
 
 
-def exact_sum(c: Column | str, scale: int = 4) -> Column:
+def exact_sum(c: Column | str) -> Column:
     """Sum of doubles that does not depend on row order.
 
-    Values are summed as decimals. Where a group holds a value no decimal can carry
-    (NaN, infinity), the plain double sum of that group is returned instead.
+    Values are summed as decimals with 12 digits behind the point and 26 before it. A value or
+    a sum that does not fit, NaN or an infinity is an error, never a different kind of sum.
     """
     c = _col(c)
-    as_decimal = c.try_cast(f"decimal(28,{scale})")
-    inexact = F.max(c.isNotNull() & as_decimal.isNull())
-    return F.when(inexact, F.sum(c)).otherwise(F.sum(as_decimal).cast("double"))
+    as_decimal = c.try_cast("decimal(38,12)")
+    unfit = F.raise_error(F.concat(F.lit("no exact sum holds "), c.cast("string")))
+    fit = F.when(c.isNotNull() & as_decimal.isNull(), unfit.cast("decimal(38,12)")).otherwise(as_decimal)
+    return F.sum(fit).cast("double")
 
 
-def exact_avg(c: Column | str, scale: int = 4) -> Column:
-    return exact_sum(c, scale) / F.nullif(F.count(_col(c)), F.lit(0))
+def exact_avg(c: Column | str) -> Column:
+    return exact_sum(c) / F.nullif(F.count(_col(c)), F.lit(0))
 
 
 def share_pct(condition: Column) -> Column:

@@ -12,7 +12,6 @@ from tidemark.functions.scalars import as_of_ts
 from tidemark.topics import Topic
 
 SAFE_NAME = "^[A-Za-z0-9_]*[A-Za-z0-9][A-Za-z0-9_]*$"  # fixed value: letters, digits, underscore
-KEY_REPORT_LIMIT = 200  # fixed value
 
 
 def incoming_keys(records: DataFrame, json_column: str = "record_json") -> DataFrame:
@@ -26,10 +25,10 @@ def incoming_keys(records: DataFrame, json_column: str = "record_json") -> DataF
     return shapes.select("topic", F.explode("shape").alias("key")).distinct()
 
 
-def key_report(records: DataFrame, topic: str, limit: int = KEY_REPORT_LIMIT) -> DataFrame:
-    """The first keys of one topic in name order."""
+def key_report(records: DataFrame, topic: str) -> DataFrame:
+    """All keys of one topic in name order."""
     keys = incoming_keys(records.filter(F.col("topic") == topic))
-    return keys.orderBy("key").limit(limit)
+    return keys.orderBy("key")
 
 
 def known_names(topic: Topic, existing: Iterable[str] = ()) -> list[str]:
@@ -82,17 +81,20 @@ def healed_columns(changes: DataFrame, topic: Topic) -> list[str]:
 
 
 def healed_values(value: Column | str, names: Iterable[str]) -> list[Column]:
-    """String columns read from the JSON text for healed names, matched without case."""
-    names = list(names)
-    if not names:
-        return []
+    """String columns of healed names, matched without case, from the record's map.
+
+    `value` is the map that `as_map` gives. Of keys that differ in case only, all values are
+    kept, as the text of a JSON array in the order of the record.
+    """
     c = F.col(value) if isinstance(value, str) else value
-    pairs = F.from_json(c, "map<string,string>")
-    return [
-        F.get(F.map_values(_entries_named(pairs, n)), F.lit(0)).alias(n)
-        for n in names
-    ]
+
+    def found(name: str) -> Column:
+        values = F.map_values(F.map_filter(c, lambda key, _: F.lower(key) == name))
+        return F.when(F.size(values) > 1, F.to_json(values)).otherwise(F.get(values, F.lit(0)))
+
+    return [found(n).alias(n) for n in names]
 
 
-def _entries_named(pairs: Column, name: str) -> Column:
-    return F.map_filter(pairs, lambda key, _: F.lower(key) == name)
+def as_map(json: Column | str) -> Column:
+    """A JSON object's keys and values as text."""
+    return F.from_json(json, "map<string,string>")

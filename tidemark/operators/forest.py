@@ -307,7 +307,10 @@ def fit(
     """
     spark = features.sparkSession
     columns = list(columns)
-    rows = features.select(id_column, *columns).dropDuplicates([id_column])
+    same = F.struct(*columns)
+    # of rows with one id the one with the smallest hash, however the rows are dealt out
+    chosen = features.groupBy(id_column).agg(F.min_by(same, F.xxhash64(*columns)).alias("_row"))
+    rows = chosen.select(id_column, "_row.*")
     rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         stats = moments(rows, columns).first().asDict()

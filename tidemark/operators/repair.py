@@ -6,17 +6,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
+from tidemark.operators.drift import as_map, healed_values
 from tidemark.operators.validate import reject_reason
 from tidemark.topics import Topic
 
 REPROCESSED, UNFIXABLE, SKIPPED, ERROR = "reprocessed", "unfixable", "skipped", "error"
 
 
-def repair(letters: DataFrame, topic: Topic, extra_columns: tuple[str, ...] = ()) -> DataFrame:
+def repair(
+    letters: DataFrame,
+    topic: Topic,
+    extra_columns: tuple[str, ...] = (),
+    healed: tuple[str, ...] = (),
+) -> DataFrame:
     """Repair one topic's envelopes.
 
-    Returns the payload columns after repair, the envelope's batch_id and reason, any
-    `extra_columns` of the envelope, and `outcome`:
+    Returns the payload columns after repair, the `healed` columns that were added to the topic,
+    the envelope's batch_id and reason, any `extra_columns` of the envelope, and `outcome`:
 
     * reprocessed - repaired and valid now
     * unfixable   - still invalid after repair
@@ -30,6 +36,7 @@ def repair(letters: DataFrame, topic: Topic, extra_columns: tuple[str, ...] = ()
         *extra_columns,
         F.json_object_keys("record").isNotNull().alias("_readable"),
         F.from_json("record", topic.payload).alias("_p"),
+        *[as_map("record").alias("_pairs")][: len(healed)],
     )
     # Parsing by the payload schema also strips the internal keys of the envelope.
     fixed = parsed.select(
@@ -38,6 +45,7 @@ def repair(letters: DataFrame, topic: Topic, extra_columns: tuple[str, ...] = ()
         *extra_columns,
         "_readable",
         *[_mended(topic, name, dtype).alias(name) for name, dtype in _fields(topic)],
+        *healed_values("_pairs", healed),
     )
     known = F.col("reason").isin(fv.NULL_REQUIRED_FIELD, fv.BUSINESS_RULE_VIOLATION)
     still_bad = reject_reason(topic.record_type, topic.payload.names).isNotNull()
@@ -50,13 +58,9 @@ def repair(letters: DataFrame, topic: Topic, extra_columns: tuple[str, ...] = ()
     return fixed.withColumn("outcome", outcome).drop("_readable")
 
 
-def replayable(
-    repaired: DataFrame, stamped_at: str, order_by: tuple[str, ...], cap: int | None = fv.REPLAY_CAP
-) -> DataFrame:
-    """Repaired rows to publish, oldest first up to `cap`, stamped with time and old reason."""
+def replayable(repaired: DataFrame, stamped_at: str) -> DataFrame:
+    """All repaired rows to publish, stamped with time and old reason."""
     ready = repaired.filter(F.col("outcome") == REPROCESSED)
-    if cap is not None:
-        ready = ready.orderBy(*order_by).limit(cap)
     return ready.withColumn("_reprocessed_at", F.lit(stamped_at)).withColumn(
         "_original_reason", F.col("reason")
     )
@@ -66,9 +70,9 @@ def outcome_counts(repaired: DataFrame) -> DataFrame:
     return repaired.groupBy("outcome").agg(F.count(F.lit(1)).alias("records"))
 
 
-def as_events(replay: DataFrame, topic: Topic) -> DataFrame:
+def as_events(replay: DataFrame, topic: Topic, healed: tuple[str, ...] = ()) -> DataFrame:
     """Replay rows as the JSON text the topic carries."""
-    fields = [*topic.payload.names, "_reprocessed_at", "_original_reason"]
+    fields = [*topic.payload.names, *healed, "_reprocessed_at", "_original_reason"]
     return replay.select(F.to_json(F.struct(*fields)).alias("value"))
 
 

@@ -1,24 +1,16 @@
-"""Incremental load: high-water filter, merge by key, and a keyed Parquet table to merge into."""
+"""Incremental load: high-water filter, merge by key, and staged tables that are appended to."""
 
 from __future__ import annotations
 
-import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-from tidemark.session import written_to
-
-
-CELL = ("load_day", "bucket")
-# A rewritten cell holds one row with this mark and nothing else, so that a cell whose last
-# row moved elsewhere is overwritten too. Reads leave the row out.
-GONE = "_gone"
+from tidemark.operators.latest import latest_per_key
 
 
 def newer_than(source: DataFrame, target: DataFrame, column: str) -> DataFrame:
@@ -36,131 +28,68 @@ def merge(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFr
 
 
 def without_keys(target: DataFrame, incoming: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return _key_join(target, incoming, keys, "left_anti")
-
-
-def _key_join(target: DataFrame, incoming: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
     # Distinct first: a key that came in many times is combined before the shuffle.
     arrived = incoming.select(*keys).distinct().alias("arrived")
     same = [F.col(f"kept.{k}").eqNullSafe(F.col(f"arrived.{k}")) for k in keys]
-    return target.alias("kept").join(arrived, reduce(Column.__and__, same), how)
+    return target.alias("kept").join(arrived, reduce(Column.__and__, same), "left_anti")
 
 
 @dataclass(frozen=True)
-class KeyedTable:
-    """Parquet table with one version per key, in cells of (day of `newest`, hash of key).
-
-    An upsert finds the cells that hold an arriving key by reading key columns only, and
-    rewrites just those and the cells that receive rows. The new cells are first written in
-    full beside the table, then put in place by dynamic partition overwrite. If that step is
-    interrupted, the next call repeats it from the written copy, so no row depends on a
-    half-done swap. One writer at a time.
+class StagedTable:
+    """Parquet table that loads are appended to; what a key's rows are is settled when it is read.
+
+    A load is a folder named by its id, so that writing it again replaces it, and costs no look at
+    the rows stored before. Read, a key has its latest row by `newest` (of equal times, of the
+    latest load), or, with `newest` None, all rows of the latest load that has the key. Load ids
+    sort in the order of the loads. `compact` writes what is read into a new generation, which
+    readers see once it is complete. One writer at a time.
     """
 
     spark: SparkSession
     path: str
     keys: tuple[str, ...]
-    newest: str
-    buckets: int = 16
+    newest: str | None
 
-    def exists(self) -> bool:
-        return self._read_text("_schema") is not None
+    def append(self, rows: DataFrame, load_id: str) -> None:
+        self._write(rows, self._generation() or 0, load_id)
 
-    def schema(self) -> StructType:
-        return StructType.fromJson(json.loads(self._read_text("_schema")))
+    def exists(self) -> bool:
+        return self._generation() is not None
 
     def read(self) -> DataFrame:
-        return self._cells().drop(*CELL)
-
-    def high_water(self):
-        """Latest `newest` value, from the latest day's cells only; None for an empty table."""
-        if not self.exists():
+        """The table's rows now. A column that a load lacks is NULL there."""
+        return self._settled(self._generation()).drop("load_id")
+
+    def compact(self, load_id: str) -> None:
+        """Fold all loads into one, in a generation of its own. Older generations are left as
+        they are and may be removed."""
+        now = self._generation()
+        if now is not None:
+            self._write(self._settled(now).drop("load_id"), now + 1, load_id)
+
+    def _settled(self, generation: int | None) -> DataFrame:
+        rows = self.spark.read.option("mergeSchema", "true").parquet(f"{self.path}/generation={generation}")
+        if self.newest is not None:
+            return latest_per_key(rows, self.keys, self.newest, ("load_id",))
+        place = F.rank().over(Window.partitionBy(*self.keys).orderBy(F.desc("load_id")))
+        return rows.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place")
+
+    def _generation(self) -> int | None:
+        """The newest generation, from folder names; a table that was never written has none."""
+        try:
+            found = self.spark.read.schema("generation int, load_id string").parquet(self.path)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        cells = self._cells()
-        day = cells.agg(F.max("load_day")).first()[0]
-        if day is None:
-            return cells.agg(F.max(self.newest)).first()[0]
-        return cells.filter(F.col("load_day") == F.lit(day)).agg(F.max(self.newest)).first()[0]
-
-    def upsert(self, incoming: DataFrame) -> None:
-        self.recover()
-        if not self.exists():
-            first = _cell_last(self._placed(incoming))
-            self._write(first, self.path)
-            self._write_text(first.drop(*CELL).schema.json(), "_schema")  # now the table exists
-            return
-        placed = written_to(self._placed(incoming), f"{self.path}/_incoming")
-        target = self._cells()
-        holding = _key_join(target, placed, ("bucket", *self.keys), "left_semi")
-        cells = holding.select(*CELL).union(placed.select(*CELL))
-        # As many rows as there are directories, which the driver lists to plan a scan.
-        touched = cells.groupBy("load_day").agg(F.collect_set("bucket").alias("b")).collect()
-        if not touched:
-            return
-        in_touched = reduce(
-            Column.__or__,
-            [
-                F.col("load_day").eqNullSafe(F.lit(r["load_day"])) & F.col("bucket").isin(r["b"])
-                for r in touched
-            ],
-        )
-        rest = without_keys(target.filter(in_touched), placed, ("bucket", *self.keys))
-        merged = _cell_last(placed.unionByName(rest, allowMissingColumns=True))
-        marks = cells.distinct().withColumn(GONE, F.lit(True))
-        self._write(
-            _cell_last(merged.unionByName(marks, allowMissingColumns=True)), f"{self.path}/_pending"
-        )
-        self._write_text(merged.drop(*CELL).schema.json(), "_pending_schema")
-        self.recover()
-
-    def recover(self) -> None:
-        """Put a fully written change in place, again if an earlier attempt was interrupted."""
-        text = self._read_text("_pending_schema")  # empty when nothing is pending
-        if not text:
-            return
-        stored = StructType([*StructType.fromJson(json.loads(text)).fields]).add(GONE, "boolean")
-        pending = self.spark.read.schema(_with_cell(stored)).parquet(f"{self.path}/_pending")
-        if text != self._read_text("_schema"):
-            self._write_text(text, "_schema")
-        self._write(pending, self.path, dynamic=True)
-        self._write_text("", "_pending_schema")
-
-    # ---------------------------------------------------------------- parts
-
-    def _placed(self, df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        return df.withColumn("load_day", F.col(self.newest).cast("date")).withColumn("bucket", bucket)
-
-    def _cells(self) -> DataFrame:
-        stored = _with_cell(StructType([*self.schema().fields]).add(GONE, "boolean"))
-        rows = self.spark.read.schema(stored).parquet(self.path)
-        return rows.filter(F.col(GONE).isNull()).drop(GONE)
-
-    def _write(self, df: DataFrame, path: str, dynamic: bool = False) -> None:
-        # The rebalance hint lets Spark size the files and split a cell that is too large.
+        return found.agg(F.max("generation")).first()[0]
+
+    def _write(self, rows: DataFrame, generation: int, load_id: str) -> None:
         (
-            df.hint("rebalance", *CELL)
+            rows.withColumn("generation", F.lit(generation))
+            .withColumn("load_id", F.lit(f"load {load_id}"))  # never read as a number or date
             .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
-            .partitionBy(*CELL)
-            .parquet(path)
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("generation", "load_id")
+            .parquet(self.path)
         )
-
-    def _write_text(self, text: str, name: str) -> None:
-        one = self.spark.range(1).select(F.lit(text).alias("value"))
-        one.coalesce(1).write.mode("overwrite").text(f"{self.path}/{name}")
-
-    def _read_text(self, name: str) -> str | None:
-        try:
-            row = self.spark.read.text(f"{self.path}/{name}", wholetext=True).first()
-        except AnalysisException:
-            return None
-        return row[0].strip() if row else None
-
-
-def _with_cell(schema: StructType) -> StructType:
-    return StructType([*schema.fields]).add("load_day", "date").add("bucket", "integer")
-
-
-def _cell_last(df: DataFrame) -> DataFrame:
-    return df.select(*[c for c in df.columns if c not in CELL], *CELL)

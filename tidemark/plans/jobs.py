@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,27 +15,46 @@ from tidemark.session import written_to
 from tidemark.sources.tables import Warehouse
 from tidemark.topics import Topic
 
-# Staging model -> (its source table, how it is built)
-STAGING = {
-    "stg_orders": ("orders_raw", staging.stg_orders),
-    "stg_clickstream": ("clickstream_raw", staging.stg_clickstream),
-    "stg_inventory": ("inventory_raw", staging.stg_inventory),
-    "stg_stream_profiles": ("stream_profiles", staging.stg_stream_profiles),
-    "stg_anomaly_log": ("anomaly_log", staging.stg_anomaly_log),
-}
+def run_staging(warehouse: Warehouse, as_of: str) -> None:
+    """Stage the loads that a model has not staged yet, whatever times their rows carry.
+
+    A run that stops between storing rows and noting their loads stages these loads again, which
+    changes nothing: a key's rows are settled when the table is read.
+    """
+    run_id = as_of.replace(":", "-")
+    for name, (source, build) in staging.MODELS.items():
+        rows = unstaged(warehouse, name, source)
+        loads = rows.select(*LOAD).distinct()
+        noted = loads.select(
+            F.lit(name).alias("model"),
+            F.col("load_source").alias("source_load_source"),
+            F.col("load_batch").alias("source_load_batch"),
+            fx.as_of_ts(as_of).alias("staged_at"),
+        )
+        noted = written_to(noted, warehouse.work(f"loads-{name}"))  # fixed before the rows are read
+        if noted.isEmpty():
+            continue
+        mine = rows.join(
+            noted.select(F.col("source_load_source").alias("load_source"), F.col("source_load_batch").alias("load_batch")),
+            [*LOAD],
+            "left_semi",
+        )
+        warehouse.staged(name).append(build(mine), run_id)
+        warehouse.write_load(noted, "staged_loads", name, run_id, "staged_at")
 
 
-def run_staging(warehouse: Warehouse) -> None:
-    """Stage what is newer than each model's high-water mark and merge it by key."""
-    for name, (source, build) in STAGING.items():
-        target = warehouse.keyed(name)
-        target.recover()
-        rows = warehouse.read(source, since=target.high_water())
-        target.upsert(build(rows))
+LOAD = ("load_source", "load_batch")
+
+
+def unstaged(warehouse: Warehouse, model: str, source: str) -> DataFrame:
+    """Rows of the source's loads that are not noted as staged for the model."""
+    done = warehouse.read("staged_loads").filter(F.col("model") == model)
+    done = done.select(F.col("source_load_source").alias("load_source"), F.col("source_load_batch").alias("load_batch"))
+    return warehouse.read(source, with_load=True).join(done, [*LOAD], "left_anti")
 
 
 def run_marts(warehouse: Warehouse, as_of: str) -> None:
-    stg = {name: warehouse.read(name) for name in STAGING}
+    stg = {name: warehouse.read(name) for name in staging.MODELS}
     warehouse.replace(
         marts.mart_pipeline_health(stg["stg_stream_profiles"], stg["stg_anomaly_log"], as_of),
         "mart_pipeline_health",
@@ -65,8 +86,8 @@ def check_tables(warehouse: Warehouse, tables: list[str], as_of: str, stage: str
 
 def run_models(warehouse: Warehouse, as_of: str) -> None:
     """Staging, its checks, marts, their checks. A failing check stops the run."""
-    run_staging(warehouse)
-    quality.require_passed(check_tables(warehouse, list(STAGING), as_of, "staging"))
+    run_staging(warehouse, as_of)
+    quality.require_passed(check_tables(warehouse, list(staging.MODELS), as_of, "staging"))
     run_marts(warehouse, as_of)
     quality.require_passed(
         check_tables(
@@ -77,24 +98,24 @@ def run_models(warehouse: Warehouse, as_of: str) -> None:
 
 
 class TooManyColumns(ValueError):
-    """A producer seems to send data as keys; nothing was added."""
+    """More new columns than the caller allows; nothing was added."""
 
 
 def heal_schema(
-    warehouse: Warehouse, topic: Topic, batch_id: int, as_of: str, at_most: int = drift.KEY_REPORT_LIMIT
+    warehouse: Warehouse, topic: Topic, batch_id: int, as_of: str, at_most: int | None = None
 ) -> list[str]:
     """Add a string column for every new, safely named key in the topic's quarantine.
 
     The stored change is what widens the table: reads name the column, and files without it
-    give NULL. Running streams pick the columns up when they are next started. More than
-    `at_most` new columns at once are refused, not cut.
+    give NULL. Running streams pick the columns up when they are next started. With `at_most`,
+    more new columns at once are refused, not cut.
     """
     quarantine = warehouse.read("quarantine_log").filter(F.col("topic") == topic.name)
     existing = warehouse.added_columns(topic.raw_table)
     found = drift.new_columns(drift.incoming_keys(quarantine), topic, existing)
     found = written_to(found.filter("is_safe"), warehouse.work(f"new-columns-{topic.name}"))
     width = found.count()
-    if width > at_most:
+    if at_most is not None and width > at_most:
         raise TooManyColumns(f"{topic.name}: {width} new columns, at most {at_most} are added")
     changes = drift.schema_change_rows(found, topic.raw_table, batch_id, as_of)
     row = changes.first()
@@ -107,31 +128,24 @@ def heal_schema(
 
 
 def replay_dead_letters(
-    warehouse: Warehouse,
-    topic: Topic,
-    publish_to: str,
-    run_id: str,
-    as_of: str,
-    cap: int | None = fv.REPLAY_CAP,
+    warehouse: Warehouse, topic: Topic, publish_to: str, run_id: str, as_of: str
 ) -> dict[str, int]:
-    """Repair the topic's dead letters and publish them again, each at most once.
+    """Repair the topic's dead letters and publish them again, each once.
 
-    A letter is known by its file and row, as a message is by partition and offset. What was
-    decided for it is stored first, with the text to publish; publishing then only copies
-    that load, so a repeated run with the same id changes nothing. Letters beyond `cap` wait
-    for the next run.
+    A letter is known by what it holds - its source, batch, reason and record - and letters that
+    hold the same by their number, so it stays known when its batch is written again. What was
+    decided is stored first, with the text to publish; publishing then only copies that load, so a
+    repeated run with the same id changes nothing. Healed columns are published too.
     """
     if _replays(warehouse, run_id, topic) is None:
-        letters = _open_letters(warehouse, topic)
-        ids = ("letter_file", "letter_row")
-        repaired = repair.repair(letters, topic, ids)
-        replay = repair.replayable(repaired, as_of, ("batch_id", *ids), cap)
-        fields = [*topic.payload.names, "_reprocessed_at", "_original_reason"]
-        published = replay.select(
-            *ids, "outcome", F.to_json(F.struct(*fields)).alias("value")
-        )
+        healed = tuple(warehouse.added_columns(topic.raw_table))
+        repaired = repair.repair(open_letters(warehouse, topic), topic, ("letter_id", "copies"), healed)
+        replay = repair.replayable(repaired, as_of)
+        fields = [*topic.payload.names, *healed, "_reprocessed_at", "_original_reason"]
+        known = ("letter_id", "copies", "outcome")
+        published = replay.select(*known, F.to_json(F.struct(*fields)).alias("value"))
         settled = repaired.filter(F.col("outcome") != repair.REPROCESSED).select(
-            *ids, "outcome", F.lit(None).cast("string").alias("value")
+            *known, F.lit(None).cast("string").alias("value")
         )
         decided = published.unionByName(settled).withColumn("replayed_at", fx.as_of_ts(as_of))
         warehouse.write_load(
@@ -140,10 +154,15 @@ def replay_dead_letters(
     decided = _replays(warehouse, run_id, topic)
     if decided is None:
         return {}
-    decided.filter(F.col("value").isNotNull()).select("value").write.mode("overwrite").text(
-        f"{publish_to}/run={run_id}"
-    )
-    return {r["outcome"]: r["records"] for r in repair.outcome_counts(decided).collect()}
+    published_texts(decided).write.mode("overwrite").text(f"{publish_to}/run={run_id}")
+    totals = decided.groupBy("outcome").agg(F.sum("copies").alias("records"))
+    return {r["outcome"]: r["records"] for r in totals.collect()}
+
+
+def published_texts(decided: DataFrame) -> DataFrame:
+    """A row `value` for each letter that was repaired, as often as it was sent."""
+    ready = decided.filter(F.col("value").isNotNull())
+    return ready.select("value", F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("_")).select("value")
 
 
 def _replays(warehouse: Warehouse, run_id: str, topic: Topic) -> DataFrame | None:
@@ -154,19 +173,30 @@ def _replays(warehouse: Warehouse, run_id: str, topic: Topic) -> DataFrame | Non
     return None if rows.isEmpty() else rows
 
 
-def _open_letters(warehouse: Warehouse, topic: Topic) -> DataFrame:
-    letters = warehouse.loads("dead_letters")
-    if letters is None:
-        return warehouse.read("dead_letters").select(
-            "*", F.lit("").alias("letter_file"), F.lit(0).cast("bigint").alias("letter_row")
-        )
-    mine = letters.filter(F.col("source") == topic.record_type).select(
-        "source", "batch_id", "reason", "record",
-        F.col("_metadata.file_name").alias("letter_file"),
-        F.col("_metadata.row_index").alias("letter_row"),
+def open_letters(warehouse: Warehouse, topic: Topic) -> DataFrame:
+    """The topic's letters that are not decided yet, equal ones as one row with their number.
+
+    Equal letters are counted before they travel, so a letter that arrived very often is one row.
+    """
+    letters = warehouse.read("dead_letters").filter(F.col("source") == topic.record_type)
+    held = ["source", "batch_id", "reason", "record"]
+    counted = letters.groupBy(*held).agg(F.count(F.lit(1)).alias("arrived"))
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in held]
+    known = counted.withColumn("letter_id", F.sha2(F.to_json(F.array(*parts)), 256))
+    done = warehouse.read("dead_letter_replays").groupBy("letter_id").agg(F.sum("copies").alias("done"))
+    left = F.col("arrived") - F.coalesce("done", F.lit(0))
+    return (
+        known.join(done, "letter_id", "left")
+        .withColumn("copies", left)
+        .filter("copies > 0")
+        .select(*held, "letter_id", "copies")
     )
-    done = warehouse.read("dead_letter_replays").select("letter_file", "letter_row")
-    return mine.join(done, ["letter_file", "letter_row"], "left_anti")
+
+
+def apply_retention(warehouse: Warehouse, as_of: str, days: int = fv.QUARANTINE_DAYS) -> None:
+    """Remove quarantined records of days that are out of retention."""
+    limit = (date.fromisoformat(as_of[:10]) - timedelta(days=days)).isoformat()
+    warehouse.drop_days("quarantine_log", limit)
 
 
 def train(
@@ -190,14 +220,14 @@ def retrain(warehouse: Warehouse, as_of: str, model_path: str, days: int = 30) -
 
 
 def score_profiles(
-    warehouse: Warehouse, model: forest.Model, as_of: str, run_id: str, hours: int = 2
+    warehouse: Warehouse, model: forest.Model, as_of: str, run_id: str, hours: int | None = None
 ) -> DataFrame:
-    """Score the profiles not scored yet; log all scores, the alerts, and return the actions.
+    """Score the profiles not scored yet, of the last `hours` only if given; log all scores, the alerts, and return the actions.
 
     All scores are logged, not only the anomalies, so a normal profile is scored once.
     """
     profiles, scores = warehouse.read("stream_profiles"), warehouse.read("score_log")
-    waiting = reports.unscored_profiles(profiles, scores, as_of, hours, limit=None)
+    waiting = reports.unscored_profiles(profiles, scores, as_of, hours)
     scored = written_to(
         forest.score(forest.feature_frame(waiting), model, as_of.replace(" ", "T")),
         warehouse.work("scores"),

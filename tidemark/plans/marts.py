@@ -23,7 +23,7 @@ def daily_profiles(stg_profiles: DataFrame) -> DataFrame:
         F.avg("record_count").alias("avg_batch_size"),
         F.min("record_count").alias("min_batch_size"),
         F.max("record_count").alias("max_batch_size"),
-        fx.exact_avg("null_rate_avg", 6).alias("avg_null_rate"),
+        fx.exact_avg("null_rate_avg").alias("avg_null_rate"),
         F.max("null_rate_max").alias("max_null_rate"),
         _flagged("is_schema_drift").alias("schema_drift_events"),
     )
@@ -33,7 +33,7 @@ def daily_anomalies(stg_anomalies: DataFrame) -> DataFrame:
     severity = F.col("severity")
     return stg_anomalies.groupBy("topic", F.col("scored_date").alias("stat_date")).agg(
         _rows().alias("anomaly_count"),
-        fx.exact_avg("anomaly_score", 6).alias("avg_anomaly_score"),
+        fx.exact_avg("anomaly_score").alias("avg_anomaly_score"),
         F.min("anomaly_score").alias("min_anomaly_score"),
         F.count_if(severity == "CRITICAL").alias("critical_count"),
         F.count_if(severity == "HIGH").alias("high_count"),
@@ -81,7 +81,7 @@ def mart_anomaly_summary(stg_anomalies: DataFrame, as_of: str) -> DataFrame:
         stg_anomalies.groupBy(F.col("scored_date").alias("stat_date"), "topic", "severity")
         .agg(
             _rows().alias("anomaly_count"),
-            fx.round_to(fx.exact_avg("anomaly_score", 6), 6).alias("avg_score"),
+            fx.round_to(fx.exact_avg("anomaly_score"), 6).alias("avg_score"),
             fx.round_to(F.min("anomaly_score"), 6).alias("min_score"),
             _flagged("is_schema_drift").alias("schema_drift_count"),
             F.count_distinct("batch_id").alias("affected_batches"),

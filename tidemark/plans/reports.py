@@ -40,17 +40,17 @@ def recent_anomalies(
     hours: int = 24,
     severity: str = "ALL",
     topic: str = "ALL",
-    limit: int = 100,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Latest anomalies of the look-back window, newest first."""
+    """Anomalies of the look-back window, newest first; the first `limit` of them if given."""
     scored_at = fx.text_to_ts("scored_at")
     rows = anomaly_log.filter(scored_at >= _before(as_of, hours=hours))
     if severity != "ALL":
         rows = rows.filter(F.col("severity") == severity.upper())
     if topic != "ALL":
         rows = rows.filter(F.col("topic") == topic)
-    newest = rows.orderBy(scored_at.desc(), F.col("anomaly_id").desc()).limit(limit)
-    return newest.select(
+    newest = rows.orderBy(scored_at.desc(), F.col("anomaly_id").desc())
+    return _first(newest, limit).select(
         "anomaly_id", "topic", "severity", "anomaly_score", "is_schema_drift", "scored_at"
     )
 
@@ -71,11 +71,10 @@ def stream_overview(overview: DataFrame, as_of: str, days: int = 7) -> DataFrame
     )
 
 
-def latest_profiles(stg_profiles: DataFrame, limit: int = 20) -> DataFrame:
-    newest = stg_profiles.orderBy(
-        F.col("profile_ts").desc_nulls_last(), F.col("profile_id").desc()
-    ).limit(limit)
-    return newest.select(
+def latest_profiles(stg_profiles: DataFrame, limit: int | None = None) -> DataFrame:
+    """Profiles, newest first; the first `limit` of them if given."""
+    newest = stg_profiles.orderBy(F.col("profile_ts").desc_nulls_last(), F.col("profile_id").desc())
+    return _first(newest, limit).select(
         "profile_id", "topic", "batch_id", "record_count",
         fx.round_to(F.col("null_rate_avg") * 100, 2).alias("null_pct"),
         "column_count", "is_schema_drift", _text("profile_ts"),
@@ -96,7 +95,7 @@ def system_summary(health: DataFrame, date: str) -> DataFrame:
         F.sum("total_records").alias("total_records_today"),
         F.sum("anomaly_count").alias("total_anomalies_today"),
         F.sum("critical_anomalies").alias("total_critical_today"),
-        fx.exact_avg("pipeline_sla_pct", 2).alias("avg_sla_today"),
+        fx.exact_avg("pipeline_sla_pct").alias("avg_sla_today"),
         F.sum("schema_drift_events").alias("total_schema_drifts"),
     )
 
@@ -115,19 +114,17 @@ def sla_report(health: DataFrame, as_of: str) -> DataFrame:
 
 
 def unscored_profiles(
-    profiles: DataFrame, anomaly_log: DataFrame, as_of: str, hours: int = 2, limit: int | None = 100
+    profiles: DataFrame, anomaly_log: DataFrame, as_of: str, hours: int | None = None
 ) -> DataFrame:
-    """Recent profiles that have no row in the log, oldest first."""
+    """Profiles that have no row in the log, oldest first; of the last `hours` only, if given."""
     profile_ts = fx.text_to_ts("profile_ts")
-    recent = profiles.filter(profile_ts >= _before(as_of, hours=hours))
+    recent = profiles if hours is None else profiles.filter(profile_ts >= _before(as_of, hours=hours))
     logged = anomaly_log.select("profile_id").filter(F.col("profile_id").isNotNull())
     waiting = recent.join(logged, "profile_id", "left_anti").select(
         "profile_id", "topic", "batch_id", "record_count", "null_rate_avg", "null_rate_max",
         "column_count", "schema_hash", "expected_schema_hash", "profile_ts",
     )
-    if limit is None:
-        return waiting
-    return waiting.orderBy(profile_ts.asc(), "profile_id").limit(limit)
+    return waiting.orderBy(profile_ts.asc(), "profile_id")
 
 
 def remediation_actions(scored: DataFrame) -> DataFrame:
@@ -142,6 +139,10 @@ def remediation_actions(scored: DataFrame) -> DataFrame:
     )
 
 
+def _first(ordered: DataFrame, limit: int | None) -> DataFrame:
+    return ordered if limit is None else ordered.limit(limit)
+
+
 def _before(as_of: str, days: int = 0, hours: int = 0) -> Column:
     return fx.as_of_ts(as_of) - F.make_dt_interval(F.lit(days), F.lit(hours))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions import scalars as fx
 from tidemark.operators.latest import latest_per_key
 
-# Unique key and high-water column per staging model
+# Unique key per staging model, and the column that tells which row of a key is newest
 UNIQUE_KEYS = {
     "stg_orders": ("order_id",),
     "stg_clickstream": ("session_id",),
@@ -18,10 +18,10 @@ UNIQUE_KEYS = {
     "stg_stream_profiles": ("profile_id",),
     "stg_anomaly_log": ("anomaly_id",),
 }
-HIGH_WATER = {
+NEWEST = {
     "stg_orders": "ingested_at",
     "stg_clickstream": "ingested_at",
-    "stg_inventory": "ingested_at",
+    "stg_inventory": None,  # all movements of the latest load that has the key
     "stg_stream_profiles": "created_at",
     "stg_anomaly_log": "created_at",
 }
@@ -150,6 +150,16 @@ def stg_anomaly_log(raw: DataFrame) -> DataFrame:
     )
 
 
+# Model -> (its source table, how it is built)
+MODELS = {
+    "stg_orders": ("orders_raw", stg_orders),
+    "stg_clickstream": ("clickstream_raw", stg_clickstream),
+    "stg_inventory": ("inventory_raw", stg_inventory),
+    "stg_stream_profiles": ("stream_profiles", stg_stream_profiles),
+    "stg_anomaly_log": ("anomaly_log", stg_anomaly_log),
+}
+
+
 def _or(column: str, default: object):
     return F.coalesce(F.col(column), F.lit(default))
 

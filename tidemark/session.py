@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from functools import cache
@@ -28,12 +29,12 @@ def local_session(cores: int | str = 8, name: str = "tidemark", memory: str = "8
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors reach, from `spark.checkpoint.dir`.
 
-    Only a local session may fall back to a temporary folder.
+    Only a session in one process may fall back to a temporary folder.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder(spark.sparkContext.applicationId)
 
@@ -47,11 +48,6 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def written_once(df: DataFrame, purpose: str) -> DataFrame:
-    """Write the frame to a new folder of the shared folder and read it back."""
-    return written_to(df, new_folder(df.sparkSession, purpose))
-
-
 def written_to(df: DataFrame, path: str) -> DataFrame:
     """Write the frame to a folder, in place of what is there, and read it back.
 

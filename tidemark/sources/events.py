@@ -8,23 +8,49 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
-from tidemark.operators.drift import healed_values
+from tidemark.operators.drift import as_map, healed_values
 from tidemark.topics import Topic
 
 
-def kafka_options(topic: Topic, servers: str) -> dict[str, str]:
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic.name, **fv.KAFKA_OPTIONS}
-    if topic.per_trigger is not None:
-        options["maxOffsetsPerTrigger"] = str(topic.per_trigger)
+def kafka_options(
+    topic: Topic,
+    servers: str,
+    per_trigger: int | None = None,
+    starting: str = fv.STARTING_OFFSETS,
+    fail_on_data_loss: bool = True,
+) -> dict[str, str]:
+    """Reader options. Without `per_trigger` a micro-batch takes all that has arrived, so that a
+    backlog cannot outlive the topic's retention; lost offsets stop the stream unless allowed."""
+    options = {
+        "kafka.bootstrap.servers": servers,
+        "subscribe": topic.name,
+        "startingOffsets": starting,
+        "failOnDataLoss": str(fail_on_data_loss).lower(),
+    }
+    if per_trigger is not None:
+        options["maxOffsetsPerTrigger"] = str(per_trigger)
     return options
 
 
-def kafka_stream(spark: SparkSession, topic: Topic, servers: str) -> DataFrame:
+def kafka_stream(spark: SparkSession, topic: Topic, servers: str, **options) -> DataFrame:
     """Raw values of a topic. Needs the Kafka connector on the class path."""
-    source = spark.readStream.format("kafka").options(**kafka_options(topic, servers)).load()
+    source = spark.readStream.format("kafka").options(**kafka_options(topic, servers, **options)).load()
     return source.select(F.col("value").cast("string").alias("value"))
 
 
+def for_kafka(rows: DataFrame, topic_name: str, servers: str, value: str = "value", key: str | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """Rows as the (key, value) that the Kafka writer takes, and its options."""
+    keyed = F.lit(None) if key is None else F.col(key)
+    message = rows.select(keyed.cast("string").alias("key"), F.col(value).cast("string").alias("value"))
+    return message, {"kafka.bootstrap.servers": servers, "topic": topic_name}
+
+
+def publish(rows: DataFrame, topic_name: str, servers: str, value: str = "value", key: str | None = None) -> None:
+    """Send rejects or repaired records to a topic. Needs the Kafka connector."""
+    message, options = for_kafka(rows, topic_name, servers, value, key)
+    message.write.format("kafka").options(**options).save()
+
+
 def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
     """Raw values from text files with one JSON object per line."""
     reader = spark.readStream.format("text")
@@ -50,6 +76,7 @@ def parse(
     kept = [c for c in raw.columns if c not in topic.expected_columns]
     stamped = raw.select(
         *kept,
+        *[as_map(value).alias("_pairs")][: len(healed)],
         F.from_json(value, topic.payload).alias("_event"),
         now.cast("timestamp_ntz").alias("ingested_at"),
         F.lit(topic.name).alias("source_topic"),
@@ -58,7 +85,7 @@ def parse(
     return stamped.select(
         *kept,
         *[F.col(f"_event.{name}").alias(name) for name in topic.payload.names],
-        *healed_values(value, healed),
+        *healed_values("_pairs", healed),
         *[
             metadata.get(name, F.col(name)).alias(name)
             for name in topic.expected_columns

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,10 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tidemark import fixed_values as fv
-from tidemark.functions.scalars import as_of_ts
 from tidemark.operators.drift import healed_columns
-from tidemark.operators.upsert import KeyedTable
-from tidemark.plans.staging import HIGH_WATER, UNIQUE_KEYS
+from tidemark.operators.upsert import StagedTable
+from tidemark.plans.staging import MODELS, NEWEST, UNIQUE_KEYS
 from tidemark.topics import TOPICS, struct_of
 
 
@@ -35,6 +33,7 @@ CONTRACTS: dict[str, str] = {
     "schema_baselines": fv.SCHEMA_BASELINES,
     "dead_letter_replays": fv.DEAD_LETTER_REPLAYS,
     "quality_results": fv.QUALITY_RESULTS,
+    "staged_loads": fv.STAGED_LOADS,
 }
 NOT_NULL: dict[str, tuple[str, ...]] = {"stream_profiles": fv.REQUIRED_IN_PROFILES}
 # Named sources of the models
@@ -51,6 +50,7 @@ LAYERS = {
     "dead_letters": "alerts",
     "dead_letter_replays": "alerts",
     "quality_results": "metrics",
+    "staged_loads": "metrics",
     **{name: "staging" for name in UNIQUE_KEYS},
     "mart_pipeline_health": "marts",
     "mart_anomaly_summary": "marts",
@@ -103,7 +103,6 @@ class Warehouse:
 
     spark: SparkSession
     root: str
-    buckets: int = 16
 
     def path(self, table: str) -> str:
         return f"{self.root}/{LAYERS[table]}/{table}"
@@ -112,14 +111,12 @@ class Warehouse:
         """Folder for an intermediate table; the next run of the same step replaces it."""
         return f"{self.root}/_work/{purpose}"
 
-    def keyed(self, table: str) -> KeyedTable:
-        return KeyedTable(
-            self.spark, self.path(table), UNIQUE_KEYS[table], HIGH_WATER[table], self.buckets
-        )
+    def staged(self, table: str) -> StagedTable:
+        return StagedTable(self.spark, self.path(table), UNIQUE_KEYS[table], NEWEST[table])
 
     def exists(self, table: str) -> bool:
         if table in UNIQUE_KEYS:
-            return self.keyed(table).exists()
+            return self.staged(table).exists()
         return self.loads(table) is not None
 
     def loads(self, table: str, added: Sequence[str] = ()) -> DataFrame | None:
@@ -143,26 +140,28 @@ class Warehouse:
         changes = None if topic is None else self.loads("schema_changes")
         return [] if changes is None else healed_columns(changes, topic)
 
-    def read(self, table: str, since: datetime | None = None) -> DataFrame:
-        """A table as a frame; one that was never written is empty.
+    def read(self, table: str, with_load: bool = False) -> DataFrame:
+        """A table as a frame; a loaded one that was never written is empty.
 
-        With `since`, only rows ingested after that time, which also skips older folders.
-        Files written before a column was added read as NULL there.
+        `with_load` adds the columns that tell which load a row came with. Files written before
+        a column was added read as NULL there.
         """
         if table in UNIQUE_KEYS:
-            return self.keyed(table).read()
+            staged = self.staged(table)
+            if staged.exists():
+                return staged.read()
+            source, build = MODELS[table]
+            return build(self.read(source)).limit(0)
         if table not in CONTRACTS:
             return self.spark.read.parquet(self.path(table))
         added = self.added_columns(table)
         schema = contract_of(table, added)
         rows = self.loads(table, added)
         if rows is None:
+            for name, kind in zip(LOAD_COLUMNS, ("date", "string", "string")):
+                schema = schema.add(name, kind) if with_load else schema
             return self.spark.createDataFrame([], schema)
-        if since is not None:
-            stamp = "ingested_at" if "ingested_at" in schema.names else "created_at"
-            rows = rows.filter(F.col("load_date") >= F.lit(since.date()))
-            rows = rows.filter(F.col(stamp) > as_of_ts(since))
-        return rows.select(*schema.names)
+        return rows.select(*schema.names, *(LOAD_COLUMNS if with_load else ()))
 
     def write_load(
         self,
@@ -176,7 +175,8 @@ class Warehouse:
         """Write one load into a folder of its own, (day of `stamp`, source, batch).
 
         Writing the same load again replaces it, so a repeated batch leaves no second copy.
-        Errors reach the caller. `added` names healed columns that the load carries.
+        Errors reach the caller. `added` names healed columns that the load carries. Files are as
+        the rows come; sizing them is left to a later compaction.
         """
         day = F.col(stamp) if isinstance(stamp, str) else stamp
         (
@@ -184,7 +184,6 @@ class Warehouse:
             .withColumn("load_date", day.cast("date"))
             .withColumn("load_source", F.lit(source))
             .withColumn("load_batch", F.lit(str(batch)))
-            .hint("rebalance")
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy(*LOAD_COLUMNS)
@@ -195,6 +194,17 @@ class Warehouse:
         """Full refresh of a table that `df` does not read."""
         df.write.mode("overwrite").parquet(self.path(table))
 
+    def drop_days(self, table: str, before: str) -> None:
+        """Remove the folders of all days before a date: what retention no longer keeps."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
+        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        if not system.exists(path):
+            return
+        for status in system.listStatus(path):
+            name = status.getPath().getName()
+            if name.startswith("load_date=") and name.removeprefix("load_date=") < before:
+                system.delete(status.getPath(), True)
+
     def register(self, *tables: str) -> None:
         """Make tables available to `query` under their names."""
         for table in tables or SOURCES:

@@ -36,10 +36,13 @@ def process_batch(
     a batch again after a failure replaces what it wrote before.
     """
     known = [c.lower() for c in drift.known_names(topic, healed)]
-    unknown = F.exists(F.json_object_keys("value"), lambda key: ~F.lower(key).isin(known))
-    batch = batch.select(
-        "*", profile.shape_of("value").alias("_shape"), unknown.alias("_drifted")
-    ).persist(StorageLevel.MEMORY_AND_DISK)
+    keys = F.from_json("_shape", "array<string>")
+    unknown = F.exists(keys, lambda key: ~F.lower(key).isin(known))
+    batch = (
+        batch.select("*", profile.shape_of("value").alias("_shape"))
+        .withColumn("_drifted", unknown)
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    )
     try:
         if batch.isEmpty():
             return

@@ -30,7 +30,6 @@ class Topic:
     rule: str | None = None  # SQL condition a good record meets
     rule_repairs: dict[str, Callable[[Column], Column]] = field(default_factory=dict)
     null_defaults: dict[str, object] = field(default_factory=dict)
-    per_trigger: int | None = None
 
     @property
     def payload(self) -> StructType:
@@ -55,7 +54,6 @@ ORDERS = Topic(
     rule="amount > 0",
     rule_repairs={"amount": F.abs},
     null_defaults=fv.ORDER_DEFAULTS,
-    per_trigger=fv.ORDERS_PER_TRIGGER,
 )
 CLICKS = Topic(
     name="clickstream_topic",
@@ -65,7 +63,6 @@ CLICKS = Topic(
     metadata_ddl=fv.INGEST_METADATA,
     required=fv.CLICK_REQUIRED,
     null_defaults=fv.CLICK_DEFAULTS,
-    per_trigger=fv.CLICKS_PER_TRIGGER,
 )
 INVENTORY = Topic(
     name="inventory_topic",
