@@ -1,0 +1,203 @@
+"""Language ID, quality, nearest neighbours and language-model scores on small fixtures."""
+
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import context_mixing, language_id, nearest, quality
+
+WORDS = {
+    "en": "the of and water house with from small people when light river green always window".split(),
+    "de": "der und nicht wasser haus mit klein leute wenn licht fluss grün immer fenster über".split(),
+    "fr": "le et dans eau maison avec petit gens quand lumière rivière vert toujours fenêtre très".split(),
+}
+
+
+def sentences(lang, n, seed, size=30):
+    rng = np.random.default_rng(seed)
+    often = 1 / np.arange(1, len(WORDS[lang]) + 1)
+    return [" ".join(rng.choice(WORDS[lang], rng.integers(3, size), p=often / often.sum())) + "." for _ in range(n)]
+
+
+# ------------------------------------------------------------------ language ID
+
+
+def test_languages_are_told_apart_and_odd_texts_rejected(spark):
+    rows = [(t, lang) for lang in WORDS for t in sentences(lang, 60, len(lang) + ord(lang[0]))]
+    train = spark.createDataFrame([*rows, ("?", None), (None, "en"), ("123", "de")], "text string, lang string")
+    model = language_id.fit(train, sample=40, centroids=3)
+    assert len(model.languages) == 9
+    new = [(t, lang) for lang in WORDS for t in sentences(lang, 30, 99)]
+    odd = [(None, "x"), ("", "x"), ("12 %% 34", "x"), ("\n\n", "x")]
+    df = spark.createDataFrame(new + odd + [("the " * 30_000, "en"), new[0], new[0]], "text string, LANG_PRED string")
+    got = language_id.predict(df.withColumnRenamed("LANG_PRED", "truth").withColumn("Lang_Score", F.lit("x")), model).collect()
+    assert len(got) == len(new) + 7
+    for r in got:
+        if r.truth == "x":
+            assert (r.lang_pred, r.lang_score, r.lang_rejected) == ("und", 0.0, True)
+        else:
+            assert 0 <= r.lang_score <= 1 and not r.lang_rejected
+    assert np.mean([r.lang_pred == r.truth for r in got if r.truth != "x"]) >= 0.97
+
+
+def test_far_texts_are_rejected_and_short_ones_kept(spark):
+    train = spark.createDataFrame([(t, "en") for t in sentences("en", 80, 1)], "text string, lang string")
+    model = language_id.fit(train)
+    found, _, rejected = model.predict(["яблоко груша вишня слива персик дыня арбуз " * 3, "the river", "zq"])
+    assert found == ["en"] * 3 and rejected.tolist() == [True, False, False]
+
+
+def test_without_labels_everything_is_unknown(spark):
+    none = spark.createDataFrame([], "text string, lang string")
+    model = language_id.fit(none)
+    assert language_id.predict(none, model).count() == 0
+    assert model.predict(["abc"])[0] == ["und"]
+
+
+# ------------------------------------------------------------------ quality
+
+
+def marked(spark, n, seed):
+    rng = np.random.default_rng(seed)
+    good = [(t, 1) for t in sentences("en", n, seed, 120)]
+    bad = [(" ".join(w.upper() + "!!" for w in rng.choice(WORDS["en"], 40)) * 3, 0) for _ in range(n // 2)]
+    bad += [(" ".join(w + "###" for w in rng.choice(WORDS["en"], 40)), 0) for _ in range(n // 2)]
+    return spark.createDataFrame(good + bad, "text string, quality int")
+
+
+def test_quality_is_learned_and_equals_a_plain_version(spark, tmp_path):
+    seen = quality.features(marked(spark, 60, 1))
+    seen.write.parquet(str(tmp_path / "f"))
+    stored = spark.read.parquet(str(tmp_path / "f"))
+    model = quality.fit(stored)
+    rows = stored.collect()
+    x, y = np.array([r.features for r in rows]), np.array([r.quality for r in rows])
+    for c in (0, 1):
+        assert np.allclose(model.means[c], x[y == c].mean(axis=0))
+    own = [np.cov(x[y == c].T, bias=True) for c in (0, 1)]
+    both = sum(own[c] * (y == c).mean() for c in (0, 1))
+    shrunk = [0.9 * (0.9 * own[c] + 0.1 * both) + 0.1 * np.diag(np.maximum(np.diag(both), 1e-3)) + 1e-6 * np.eye(len(both)) for c in (0, 1)]
+    density = [np.log((y == c).mean()) - 0.5 * np.linalg.slogdet(shrunk[c])[1] - 0.5 * np.einsum("ij,jk,ik->i", x - model.means[c], np.linalg.inv(shrunk[c]), x - model.means[c]) for c in (0, 1)]
+    d = density[1] - density[0]
+    assert np.allclose(model.differences(x), np.sign(d) * np.log1p(np.abs(d)))
+    new = quality.score(quality.features(marked(spark, 40, 2)), model).collect()
+    assert np.mean([(r.score >= 0.3) == r.quality for r in new]) > 0.97 and all(0 <= r.score <= 1 for r in new)
+
+
+def test_quality_of_odd_rows_and_missing_classes(spark):
+    df = quality.features(spark.createDataFrame([(None, None, "x"), ("", 1, "y"), ("a" * 200_000, 7, "z"), ("é 1 !", 1, "w")], "text string, quality int, FEATURES string"))
+    assert [c.lower() for c in df.columns].count("features") == 1
+    model = quality.fit(df)
+    assert [r.score for r in quality.score(df, model).collect()] == [1.0] * 4
+    assert quality.fit(df.limit(0)).prior == 0.5
+    assert all(len(r.features) == quality.SIZE and np.isfinite(r.features).all() for r in df.collect())
+
+
+# ------------------------------------------------------------------ nearest neighbours
+
+
+def exact(rows, k):
+    use = [(i, np.array(v)) for i, v in rows if i is not None and v and len(v) == 8 and None not in v and np.isfinite(v).all() and any(v)]
+    out = {}
+    for q, v in use:
+        if q % 20 == 0:
+            scored = sorted((-float((v * w).sum()), i) for i, w in use if i != q)
+            out[q] = [(i, -s) for s, i in scored[:k]]
+    return out
+
+
+def test_few_vectors_ties_and_odd_ones(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(200)] + [(i, rng.standard_normal(8).tolist()) for i in (300,)]
+    rows += [(400 + i, rows[3][1]) for i in range(30)]
+    rows += [(500, None), (520, [0.0] * 8), (540, [1.0] * 7), (560, [math.nan] * 8), (580, [math.inf] + [1.0] * 7), (600, [None] + [1.0] * 7), (620, []), (None, rows[0][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in nearest.search(df.withColumn("Score", F.lit(1)), F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+        assert r.rank == len(got[r.query_id])
+    want = exact(rows, 20)
+    assert set(got) == set(want)
+    for q in want:
+        assert [i for i, _ in got[q]] == [i for i, _ in want[q]]
+        assert np.allclose([s for _, s in got[q]], [s for _, s in want[q]], rtol=1e-14)
+
+
+def test_fewer_candidates_than_wanted_and_none(spark):
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 1.0]), (20, [1.0, 1.0])], "vec_id long, embedding array<float>")
+    got = [tuple(r) for r in nearest.search(df, F.col("vec_id") % 20 == 0, 20).orderBy("query_id", "rank").collect()]
+    assert got == [(0, 1, 20, 1.0), (0, 2, 1, 0.0), (20, 1, 0, 1.0), (20, 2, 1, 1.0)]
+    assert nearest.search(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def test_recall_with_many_lists(spark):
+    rng = np.random.default_rng(1)
+    x = rng.standard_normal((6000, 8)).astype(np.float32) * rng.uniform(0.5, 2, (6000, 1)).astype(np.float32)
+    x[1000:3000] = x[1000]  # a third are copies
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    found = {}
+    for r in nearest.search(df, F.col("vec_id") % 200 == 0, 10, lists=32, sample=3000).collect():
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    x = x.astype(np.float64)
+    hits = 0
+    for q in range(0, 6000, 200):
+        s = (x * x[q]).sum(axis=1)
+        s[q] = -np.inf
+        hits += len(found[q] & set(np.lexsort((np.arange(6000), -s))[:10].tolist()))
+    assert hits >= 0.9 * 300 and all(len(v) == 10 for v in found.values())
+
+
+# ------------------------------------------------------------------ language model
+
+
+def test_base_scores_equal_brute_force_and_the_model_beats_them(spark):
+    texts = [t for lang in WORDS for t in sentences(lang, 120, 7, 60)] + [None, "", " \n", "Zebra " + "q" * 3000, "THE the The"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("SCORE", F.lit("x"))
+    train = F.crc32(F.col("doc_id").cast("string")) % 7 != 2
+    got = context_mixing.score(df, train).collect()
+    low = {d: re.findall("[^\x20\x09-\x0d]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or "")) for d, t in enumerate(texts)}
+    teaches = {d: zlib.crc32(str(d).encode()) % 7 != 2 for d in low}
+    counts = Counter(w for d in low if teaches[d] for w in [*low[d], "\n"])
+    n, v = sum(counts.values()), len(counts)
+    assert len(got) == len(texts)
+    gain = 0
+    for r in got:
+        tokens = [*low[r.doc_id], "\n"]
+        base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in tokens)
+        assert (r.n_tokens, r.n_known, r.train_tokens) == (len(tokens), sum(counts[w] > 0 for w in tokens), n)
+        assert r.base_score == pytest.approx(base) and math.isfinite(r.score) and r.score < 0
+        if not teaches[r.doc_id] and max(map(len, tokens)) < 50:  # a word of 3000 letters costs what it costs
+            gain += r.score - base
+    assert gain > 0
+
+
+def test_scores_do_not_depend_on_other_unseen_texts(spark):
+    rows = list(enumerate(sentences("en", 80, 3)))
+    both = spark.createDataFrame(rows + [(900, "river house"), (901, "unheard of words")], "doc_id long, text string")
+    score = lambda df: {r.doc_id: r.score for r in context_mixing.score(df, F.col("doc_id") < 900).collect()}
+    all_, one = score(both), score(both.filter("doc_id != 901"))
+    assert one[900] == pytest.approx(all_[900], abs=1e-6)
+
+
+def test_language_model_on_little(spark):
+    none = spark.createDataFrame([], "doc_id long, text string")
+    assert context_mixing.score(none, F.lit(True)).count() == 0
+    one = spark.createDataFrame([(1, "a b"), (1, "a b"), (None, None)], "doc_id long, text string")
+    rows = context_mixing.score(one, F.lit(False)).collect()
+    assert len(rows) == 3 and all(r.train_tokens == 0 and r.n_known == 0 and r.base_score == 0 and math.isfinite(r.score) for r in rows)
+
+
+def test_spelling_is_a_probability():
+    """The bits of all words of one letter and their ends leave no more than all the mass."""
+    code = context_mixing.Code.of(np.bincount(np.frombuffer(b"the house ", np.uint8), minlength=256))
+    tables = [np.zeros(2 << b, np.int32) for b in context_mixing.TABLE_BITS]
+    context_mixing.count_contexts(code, [b"the", b"house"], np.array([3, 2]), tables)
+    speller = context_mixing.Speller(code, [t.astype(np.uint16) for t in tables])
+    words = [bytes([b]) for b in range(256)]
+    bits = speller.bits(words, np.zeros(256, np.int64))
+    assert 0 < np.exp2(-bits).sum() <= 1 + 1e-6

@@ -29,6 +29,11 @@ def classes() -> np.ndarray:
     return table
 
 
+@cache
+def blanks() -> frozenset[str]:
+    return frozenset(map(chr, np.flatnonzero(classes() == SPACE).tolist()))
+
+
 def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 

@@ -163,9 +163,10 @@ class Prefixes:
         new = self.new
         joined = b"".join([self.known.get(p) or new(p) for p in pieces])
         ends = np.cumsum([0, *map(len, texts)]).tolist()
+        blanks = pretokens.blanks()
         last_pieces = set((np.cumsum(counts) - 1).tolist())
         # A cut just behind the last blank of a run makes the run one piece again.
-        runs = [i for i, p in enumerate(pieces) if p.isspace() and i not in last_pieces and pieces[i + 1][0].isspace()]
+        runs = [i for i, p in enumerate(pieces) if p[-1] in blanks and i not in last_pieces and pieces[i + 1][0] in blanks]
         if runs:
             changed = np.frombuffer(joined, np.int8).copy()
             for i in runs:
