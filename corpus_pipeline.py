@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, common, decontaminate, language_id, line_templates, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-FINGERPRINTS = ("fingerprint_0", "fingerprint_1", "fingerprint_2", "fingerprint_3")
+#: more fingerprints find more of the near copies that are just within the wanted similarity
+FINGERPRINTS = tuple(f"fingerprint_{i}" for i in range(8))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -51,6 +51,13 @@ def test_copies_are_left_to_document_dedup(docs):
     assert all(dropped is None for _, dropped in dedup(docs, texts).values())
 
 
+def test_copies_of_the_first_document_stay_equal_to_it(docs):
+    passage = prose(60, 1)
+    whole = f"{document(1)}\n{passage}\n{document(2)}"
+    got = dedup(docs, [whole, f"{document(3)}\n{passage}\n{document(4)}", whole])
+    assert [got[i][1] for i in range(3)] == [None, [4], None]
+
+
 def test_short_lines_need_more_documents(docs):
     texts = [f"{document(i)}\nAll rights reserved.\n{document(i + 60)}" for i in range(4)]
     assert all(d is None for _, d in dedup(docs, texts).values())

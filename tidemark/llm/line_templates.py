@@ -6,7 +6,8 @@ with variable fields generalised, and two wider ones that leave every second rem
 so that lines of a leaf which differ in some fields meet in one of them. A template recurs if
 different documents have it amid different neighbouring lines; whole copies of a document, whose
 lines all have the same neighbours, are left to document dedup. Of a recurring template the
-document with the smallest id keeps its lines, all others lose them.
+document with the smallest id keeps its lines, as do whole copies of it, so that they stay equal;
+all others lose them.
 """
 
 from __future__ import annotations
@@ -80,10 +81,11 @@ def line_templates(df: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def recurring(lines: DataFrame, documents: int = DOCUMENTS, documents_short: int = DOCUMENTS_SHORT) -> DataFrame:
-    """Templates of so many documents with different neighbours: template, first (smallest doc_id)
-    and documents. Lines without doc_id count, but are never the first."""
+    """Templates of so many documents with different neighbours: template, first (the smallest
+    doc_id with its text_hash) and documents. Lines without doc_id count, but are never the first."""
+    named = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "text_hash"))
     counted = lines.groupBy("template").agg(
-        F.min("doc_id").alias("first"),
+        F.min(named).alias("first"),
         F.count(F.when(~F.col("again"), 1)).alias("documents"),
         F.min("tokens").alias("tokens"),
         *[f(c).alias(f"{n}_{c}") for c in ("before", "after") for f, n in ((F.min, "min"), (F.max, "max"))],
@@ -105,7 +107,7 @@ def dedup(df: DataFrame, doc_id: str = "doc_id", text: str = "text", documents:
     dropped = (
         lines.select("doc_id", "text_hash", "line", "template")
         .join(again, "template")
-        .filter(~F.col("doc_id").eqNullSafe(F.col("first")))
+        .filter(~F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("text_hash") != F.col("first.text_hash")))
         .groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .agg(F.sort_array(F.collect_set("line")).alias("dropped_lines"))
     )
