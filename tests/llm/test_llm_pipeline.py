@@ -45,6 +45,20 @@ def test_variable_fields_are_one_template(docs):
     assert got[0][1] is None and got[1][1] == [4] and got[2][1] == [4]
 
 
+def test_passages_of_several_lines_go_wherever_they_stand(docs):
+    passage = document(900, lines=3)
+    texts = [f"{document(1)}\n{passage}\n{document(2)}", f"{passage}\n{document(3)}", f"{document(4)}\n{passage}", f"{document(5)}\n{passage}\n{document(6)}"]
+    got = dedup(docs, texts)
+    assert got[0] == (texts[0], None) and got[1] == (document(3), [0, 1, 2])
+    assert got[2] == (document(4), [4, 5, 6]) and got[3] == (f"{document(5)}\n{document(6)}", [4, 5, 6])
+
+
+def test_lines_too_short_to_go_still_tell_near_copies(docs):
+    poem = "\n".join(prose(4, 7_000 + i) for i in range(6))
+    texts = [f"{poem}\n{prose(20, 71)}\n{prose(4, 72)}", f"{poem}\n{prose(20, 71)}\n{prose(4, 73)}"]
+    assert all(dropped is None for _, dropped in dedup(docs, texts).values())
+
+
 def test_copies_are_left_to_document_dedup(docs):
     near = document(7).replace(" ", " x ", 1)
     texts = [document(6), document(6), document(7), near, "one line only here", "one line only here"]
