@@ -114,6 +114,18 @@ def test_exact_and_reparameterised_questions(spark):
     assert leaks(spark, [mixed], [QUESTION])[0] == [] or not leaks(spark, [mixed], [QUESTION])[0][0][2]
 
 
+def test_items_of_mostly_slots_are_found_as_they_are_and_not_with_other_values(spark):
+    numbers = " ".join(str(n * n + 7) for n in range(24))
+    title = " ".join(w.capitalize() for w in prose(24, 60_000).split())
+    mixed = f"{prose(12, 60_001)} {' '.join(str(n * 3 + 1000) for n in range(16))}"
+    items = [numbers, title, mixed, "17 19 23"]
+    texts = [f"{prose(20, 60_010 + i)} {x} {prose(20, 60_020 + i)}" for i, x in enumerate(items)]
+    texts += [" ".join(str(n * n + 8) for n in range(24)), " ".join(w.capitalize() for w in prose(24, 60_002).split())]
+    got = leaks(spark, texts, items)
+    assert [got[i] for i in range(4)] == [[(0, 24, True)], [(1, 24, True)], [(2, 28, True)], [(3, 3, True)]]
+    assert got[4] == got[5] == []
+
+
 def test_against_containment(spark):
     items = [prose(30 + i, 50_000 + i) for i in range(20)]
     texts = [f"{document(i)} {items[i]} {document(i + 300)}" if i % 2 else document(i) for i in range(20)] + [items[4], items[4]]

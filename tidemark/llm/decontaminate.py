@@ -2,7 +2,8 @@
 
 Tokens of a text are lower-cased and stripped of punctuation; numbers, names (capitalised inside a
 sentence) and units become typed slots. Windows of such a template are hashed and looked up among
-the benchmark's windows. Matching windows on one diagonal are a region, in which the slots of both
+the benchmark's windows; of a window of mostly slots, which says too little as a template, the values
+are hashed instead, so that it matches exact copies. Matching windows on one diagonal are a region, in which the slots of both
 sides are compared: each value must stand for one value throughout, as it does when a question was
 asked anew with other numbers or names. A document leaks an item if consistent regions cover enough
 of it.
@@ -118,30 +119,31 @@ class Items:
     sizes: np.ndarray
     values: list[np.ndarray]
     kinds: list[np.ndarray]
-    tables: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # by window size
+    tables: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # by window size and whether values are hashed
 
     @classmethod
     def of(cls, rows: list[tuple[int, str]], window: int) -> Items:
         value, template, kind, doc = _read_all([t for _, t in rows])
         ends = np.searchsorted(doc, np.arange(len(rows) + 1))
         spans = list(zip(ends, ends[1:]))
-        found: dict[int, list] = {}
+        found: dict[tuple[int, bool], list] = {}
         for i, (a, b) in enumerate(spans):
             size = min(window, b - a)
             if size < 2:
                 continue
-            h = windows(template[a:b], size)
             plain = np.convolve(kind[a:b] == PLAIN, np.ones(size, int), "valid")
-            good = plain * 2 >= size  # a window of mostly slots says too little
-            found.setdefault(int(size), []).append((h[good], np.full(good.sum(), i), np.flatnonzero(good)))
+            slots = plain * 2 < size  # such a template says too little, the values tell
+            for exact, row, at in ((False, template, np.flatnonzero(~slots)), (True, value, np.flatnonzero(slots))):
+                if len(at):
+                    found.setdefault((int(size), exact), []).append((windows(row[a:b], size)[at], np.full(len(at), i), at))
         tables = {}
-        for size, parts in found.items():
+        for key, parts in found.items():
             h, item, place = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(h, kind="stable")
             h = h[order]
             seen = np.zeros(1 << 22, bool)
             seen[(h >> np.uint64(42)).astype(np.int64)] = True
-            tables[size] = (h, item[order], place[order], seen)
+            tables[key] = (h, item[order], place[order], seen)
         return cls([i for i, _ in rows], np.diff(ends), [value[a:b] for a, b in spans], [kind[a:b] for a, b in spans], tables)
 
 
@@ -173,8 +175,8 @@ def leaks(items: Items, texts: list[str], words: Words, share: float, tokens: in
     value, template, kind, doc = words.read(texts)
     hits: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
     begin = np.searchsorted(doc, np.arange(len(texts)))
-    for size, (table, item, place, seen) in items.tables.items():
-        h = windows(template, size)
+    for (size, exact), (table, item, place, seen) in items.tables.items():
+        h = windows(value if exact else template, size)
         at = np.flatnonzero(seen[(h >> np.uint64(42)).astype(np.int64)])
         at = at[doc[at] == doc[at + size - 1]]
         low, high = np.searchsorted(table, h[at], "left"), np.searchsorted(table, h[at], "right")
