@@ -205,6 +205,23 @@ def test_loads_are_staged_whatever_their_times(spark, warehouse):
     assert jobs.unstaged(warehouse, "stg_stream_profiles", "stream_profiles").isEmpty()
 
 
+def test_runs_of_one_time_keep_each_others_loads(spark, warehouse):
+    def arrive(i, levels):
+        lines = [json.dumps({"sku": p, "warehouse_id": "w", "stock_level": n, "event_time": "2024-01-05T01:00:00"}) for p, n in levels]
+        raw = spark.createDataFrame([(x,) for x in lines], "value string")
+        ingest.process_batch(events.parse(raw, INVENTORY, F.lit(AS_OF).cast("timestamp_ntz")), i, INVENTORY, warehouse, "s")
+
+    seen = []
+    for i in range(3):
+        arrive(i, [(f"P{i}", 5), ("P", 10 + i)])
+        jobs.run_staging(warehouse, AS_OF)
+        seen.append(sorted((r.sku, r.stock_level) for r in warehouse.read("stg_inventory").collect()))
+    assert seen == [sorted([("P", 10 + i), *((f"P{k}", 5) for k in range(i + 1))]) for i in range(3)]
+    assert warehouse.read("staged_loads").filter("model = 'stg_inventory'").count() == 3
+    jobs.run_staging(warehouse, AS_OF)  # nothing new
+    assert sorted((r.sku, r.stock_level) for r in warehouse.read("stg_inventory").collect()) == seen[-1]
+
+
 def test_many_new_keys_are_all_healed(spark, warehouse):
     raw = spark.createDataFrame([(click(1, **{f"k{i}": 1 for i in range(250)}),)], "value string")
     ingest.process_batch(events.parse(raw, CLICKS, F.lit(AS_OF).cast("timestamp_ntz")), 0, CLICKS, warehouse, "s")

@@ -19,9 +19,9 @@ def run_staging(warehouse: Warehouse, as_of: str) -> None:
     """Stage the loads that a model has not staged yet, whatever times their rows carry.
 
     A run that stops between storing rows and noting their loads stages these loads again, which
-    changes nothing: a key's rows are settled when the table is read.
+    changes nothing: a key's rows are settled when the table is read. Runs may share a time: what
+    an earlier one has stored and noted stays.
     """
-    run_id = as_of.replace(":", "-")
     for name, (source, build) in staging.MODELS.items():
         rows = unstaged(warehouse, name, source)
         loads = rows.select(*LOAD).distinct()
@@ -39,13 +39,23 @@ def run_staging(warehouse: Warehouse, as_of: str) -> None:
             [*LOAD],
             "left_semi",
         )
-        warehouse.staged(name).append(build(mine), run_id)
-        warehouse.write_load(noted, "staged_loads", name, run_id, "staged_at")
+        load_id = next_load(warehouse, name, as_of)
+        warehouse.staged(name).append(build(mine), load_id)
+        warehouse.write_load(noted, "staged_loads", name, load_id, "staged_at")
 
 
 LOAD = ("load_source", "load_batch")
 
 
+def next_load(warehouse: Warehouse, model: str, as_of: str) -> str:
+    """An id that no noted load of the model has: the time, and a number for later runs of that time."""
+    run_id = as_of.replace(":", "-")
+    notes = warehouse.read("staged_loads", with_load=True).filter(F.col("model") == model)
+    of_time = notes.filter((F.col("load_batch") == run_id) | F.col("load_batch").startswith(f"{run_id} "))
+    number = of_time.select("load_batch").distinct().count()
+    return f"{run_id} {number:06d}" if number else run_id
+
+
 def unstaged(warehouse: Warehouse, model: str, source: str) -> DataFrame:
     """Rows of the source's loads that are not noted as staged for the model."""
     done = warehouse.read("staged_loads").filter(F.col("model") == model)
