@@ -52,6 +52,15 @@ def test_far_texts_are_rejected_and_short_ones_kept(spark):
     assert found == ["en"] * 3 and rejected.tolist() == [True, False, False]
 
 
+def test_texts_with_a_wrong_label_do_not_keep_their_like(spark):
+    rows = [(t, lang) for lang in ("en", "de") for t in sentences(lang, 100, 5, 60)]
+    wrong = [(t, "en") for t in sentences("fr", 5, 6, 60)]
+    model = language_id.fit(spark.createDataFrame(rows + wrong, "text string, lang string"))
+    far = [t for t in sentences("fr", 60, 7, 60) if len(t) >= 2 * language_id.SHORT]
+    own = [t for lang in ("en", "de") for t in sentences(lang, 60, 8, 60) if len(t) >= 2 * language_id.SHORT]
+    assert model.predict(far)[2].mean() >= 0.95 and model.predict(own)[2].mean() <= 0.05
+
+
 def test_without_labels_everything_is_unknown(spark):
     none = spark.createDataFrame([], "text string, lang string")
     model = language_id.fit(none)

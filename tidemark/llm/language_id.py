@@ -2,8 +2,9 @@
 
 Texts are lower-cased, everything but letters becomes a single blank, and 1- to 3-grams are hashed
 into a fixed number of features. The inverse document frequencies and, per language, spherical
-k-means centroids are learned from a bounded sample of labelled texts; the distances of the sample's
-own texts, by length, give the distance beyond which a text is rejected.
+k-means centroids are learned from a bounded sample of labelled texts; a low quantile of the sample's
+own cosines, by length, gives the distance beyond which a text is rejected. Labels may be wrong: the
+farthest texts of a language neither begin a centroid nor set the distance.
 """
 
 from __future__ import annotations
@@ -24,9 +25,12 @@ CENTROIDS = 4
 SAMPLE = 2000
 ROUNDS = 12
 LENGTHS = 32
-#: a text is rejected if its cosine is under this share of the least that texts of its length had;
-#: shorter texts than this say too little to be rejected
-SLACK = 0.5
+#: this share of a language's texts, those farthest from all centroids so far, begins none
+FARTHEST = 0.1
+#: a text is rejected if its cosine is under SLACK of the LOW quantile of texts of about its length;
+#: shorter texts than SHORT say too little to be rejected
+LOW = 0.1
+SLACK = 0.6
 SHORT = 32
 MOST_LANGUAGES = 2000
 UNKNOWN = "und"
@@ -74,12 +78,12 @@ def bucket(length: np.ndarray) -> np.ndarray:
 
 
 def centroids_of(x: np.ndarray, k: int) -> np.ndarray:
-    """Spherical k-means, begun at the text nearest to the mean and then the farthest ones."""
+    """Spherical k-means, begun at the text nearest to the mean and then at far ones, but not the farthest."""
     mean = x.mean(axis=0)
     at = [int(np.argmax(x @ mean))]
     nearest = x @ x[at[0]]
     while len(at) < min(k, len(x)):
-        at.append(int(np.argmin(nearest)))
+        at.append(int(np.argsort(nearest, kind="stable")[int(FARTHEST * len(x))]))
         nearest = np.maximum(nearest, x @ x[at[-1]])
     centres = x[at]
     for _ in range(ROUNDS):
@@ -92,6 +96,18 @@ def centroids_of(x: np.ndarray, k: int) -> np.ndarray:
     return centres
 
 
+def floors_of(cosine: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The least cosine that is not rejected, by length; lengths that no text was near have none."""
+    own = bucket(length)
+    low = np.full(LENGTHS + 2, np.inf)
+    for b in np.unique(own):
+        low[b + 1] = np.quantile(cosine[own == b], LOW)
+    near = np.minimum(np.minimum(low[:-2], low[1:-1]), low[2:])
+    floor = np.where(np.isfinite(near), near * SLACK, 0.0)
+    floor[: int(np.log2(SHORT))] = 0.0
+    return floor
+
+
 @dataclass
 class Model:
     languages: list[str]  # of each centroid
@@ -167,11 +183,7 @@ def fit(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAM
         x = vectors(counts, idf)
         centres = centroids_of(x, centroids)
         cosine = (x @ centres.T).max(axis=1)
-        least = np.full(LENGTHS + 2, np.inf)
-        np.minimum.at(least, bucket(length) + 1, cosine)
-        near = np.minimum(np.minimum(least[:-2], least[1:-1]), least[2:])
-        floor = np.where(np.isfinite(near), near * SLACK, 0.0)
-        floor[: int(np.log2(SHORT))] = 0.0
+        floor = floors_of(cosine, length)
         k = len(centres)
         return pa.table({"lang": [group["lang"][0].as_py()] * k, "centre": [c.astype(np.float32).tobytes() for c in centres], "floor": [floor.tolist()] * k})
 
