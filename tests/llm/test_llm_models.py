@@ -210,3 +210,27 @@ def test_spelling_is_a_probability():
     words = [bytes([b]) for b in range(256)]
     bits = speller.bits(words, np.zeros(256, np.int64))
     assert 0 < np.exp2(-bits).sum() <= 1 + 1e-6
+
+
+def test_weights_are_learned_from_all_words_before_any_is_scored(spark, monkeypatch):
+    code = context_mixing.Code.of(np.bincount(np.frombuffer(" ".join(sum(WORDS.values(), [])).encode(), np.uint8), minlength=256))
+    rng = np.random.default_rng(4)
+    words = sorted({"".join(rng.choice(list("abcdefgh"), 2) ).encode() * 2 + b"".join(w.encode()[:3] for w in rng.choice(WORDS["en"], 2)) for _ in range(3000)})
+    times = rng.integers(1, 9, len(words))
+    tables = [np.zeros(2 << b, np.int32) for b in context_mixing.TABLE_BITS]
+    context_mixing.count_contexts(code, words, times, tables)
+    begun = context_mixing.Speller(code, tables)
+    speller = begun
+    for _ in range(context_mixing.ROUNDS):
+        whole = speller.lessons(words, times)
+        halves = speller.lessons(words[:700], times[:700]) + speller.lessons(words[700:], times[700:])
+        assert np.allclose(whole, halves)
+        speller = speller.learned(whole)
+    bits = speller.bits(words, times)
+    assert bits.sum() < 0.97 * begun.bits(words, times).sum()
+    monkeypatch.setattr(context_mixing, "_WORDS", 100)  # many blocks
+    assert np.allclose(speller.bits(words, times), bits, rtol=1e-5)
+    rows = list(enumerate(t for lang in WORDS for t in sentences(lang, 40, 3)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    one, many = ({r.doc_id: r.score for r in context_mixing.score(df, F.col("doc_id") % 5 != 0, group_bytes=n).collect()} for n in (1 << 30, 3_000))
+    assert all(many[d] == pytest.approx(one[d], rel=1e-4) for d in one)
