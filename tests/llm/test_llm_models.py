@@ -234,3 +234,16 @@ def test_weights_are_learned_from_all_words_before_any_is_scored(spark, monkeypa
     df = spark.createDataFrame(rows, "doc_id long, text string")
     one, many = ({r.doc_id: r.score for r in context_mixing.score(df, F.col("doc_id") % 5 != 0, group_bytes=n).collect()} for n in (1 << 30, 3_000))
     assert all(many[d] == pytest.approx(one[d], rel=1e-4) for d in one)
+
+
+def test_large_counts_stay_in_proportion_to_a_words_own():
+    import pyarrow as pa
+
+    code = context_mixing.Code.of(np.ones(256, np.int64))
+    totals = pa.RecordBatch.from_pydict({"words": [b"the thy"], "times": [np.array([[3_000_000_000], [1_000]]).tobytes()]})
+    parts = list(context_mixing._table_parts(code, 1)([totals]))
+    tables = [np.zeros(2 << b, np.float32) for b in context_mixing.TABLE_BITS]
+    for batch in context_mixing._sum_parts(parts):
+        for r in batch.to_pylist():
+            tables[r["number"]].reshape(-1, 2 << context_mixing.PART_BITS)[r["part"]] = np.frombuffer(r["cells"], np.float32)
+    assert all(t.max() == pytest.approx(3_000_001_000, rel=1e-6) for t in tables)
