@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -83,3 +83,23 @@ def mapped(df: DataFrame, text: str, most: int, new: dict[str, str], fn) -> Data
 
     out = source.mapInArrow(run, schema)
     return out.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept.columns], *new)
+
+
+def indexed(df: DataFrame, order: list[Column | str], out: str = "index") -> DataFrame:
+    """The stored rows with their place, from 0, in an order of the whole table.
+
+    Every task sorts one range and numbers its rows; only the ranges' row counts, one row a range,
+    are added up in one place and sent to all tasks. df is read twice, so it must be stored or
+    cheap. Rows that the order leaves equal get consecutive places in any order, and may be dealt
+    over several ranges. A column named `out` is replaced.
+    """
+    tied = without(df, [out]).withColumn("_tie", F.monotonically_increasing_id())
+    spread = tied.repartitionByRange(*order, "_tie").sortWithinPartitions(*order, "_tie").drop("_tie")
+    placed = stored(spread.withColumn("_at", F.monotonically_increasing_id()), "ordered")
+    # the id is the number of the task's range above 33 bits of the row's number in it
+    placed = placed.withColumn("_range", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND((1 << 33) - 1))
+    counts = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_rows"))
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("_range", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
+    found = placed.join(F.broadcast(starts), "_range").withColumn(out, F.col("_start") + F.col("_at"))
+    return found.drop("_range", "_at", "_start")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from string import ascii_lowercase, ascii_uppercase
+
 import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, language_id, line_templates, nearest, quality, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, language_id, line_templates, merkle, nearest, quality, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -133,6 +135,77 @@ def op9_context_mixing(spark, sf):
     return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op11_merkle(spark, sf):
+    docs = table(spark, sf, "documents").select(*LEAF)
+    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
+    other = merkle.leaf([*LEAF[:-1], lowered])
+    tampered = F.when(common.crc_remainder("doc_id", 5) == 0, other)
+    leaves = docs.select("doc_id", "source", merkle.leaf(LEAF).alias("leaf"), tampered.alias("tampered"))
+    held = merkle.manifest(leaves, replacement="tampered")
+    proof = F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256")
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return held.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
+
+
+def _merkle_sql(levels: int) -> str:
+    """The trees of the sources and the one over them, each level from the one below, up to 16^levels leaves."""
+    field = "coalesce(octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR), '-')"
+    row = " || ".join(field.format(c) for c in LEAF)
+    lowered = f"translate(text, '{ascii_uppercase}', '{ascii_lowercase}')"
+    other = " || ".join(field.format(c) for c in [*LEAF[:-1], lowered])
+    # crc32 of the decimal digits, byte by byte; its table is made by the polynomial's rule
+    step = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    out = [f"""crc_table AS (
+      SELECT list(c ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(list_prepend(b, [0,0,0,0,0,0,0,0]), lambda c, i: {step}) AS c FROM (SELECT unnest(range(256)) AS b))
+    ), docs AS (
+      SELECT doc_id, source, sha256({row}) AS leaf, sha256({other}) AS other,
+        xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: ascii(x))),
+          lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 5 = 0 AS hit
+      FROM documents, crc_table
+    ), leaves AS (
+      SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos FROM docs
+    ), d0 AS (
+      SELECT doc_id, source, leaf, CASE WHEN hit THEN other ELSE leaf END AS v, pos, '' AS proof FROM leaves
+    ), a0 AS (SELECT source AS tree, pos, leaf AS digest FROM leaves)"""]
+
+    def rise(node: str, walk: str, tree: str, keep: str) -> None:
+        for k in range(levels):
+            out.append(f"""{node}{k}s AS (
+              SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {node}{k}
+            ), {node}{k}r AS (
+              SELECT *,
+                coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+                coalesce(string_agg(digest, '') OVER (PARTITION BY tree, pos // 16 ORDER BY pos ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after
+              FROM {node}{k}s
+            ), {node}{k + 1} AS (
+              SELECT tree, pos // 16 AS pos, CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+              FROM {node}{k}s GROUP BY tree, pos // 16
+            ), {walk}{k + 1} AS (
+              SELECT {keep}, CASE WHEN n = 1 THEN v ELSE sha256(before || v || after) END AS v, w.pos // 16 AS pos, proof || before || after AS proof
+              FROM {walk}{k} w JOIN {node}{k}r r ON {tree} IS NOT DISTINCT FROM r.tree AND w.pos = r.pos
+            )""")
+
+    rise("a", "d", "w.source", "w.doc_id, w.source, w.leaf")
+    out.append(f"""b0 AS (
+      SELECT 0 AS tree, row_number() OVER (ORDER BY encode(tree) NULLS FIRST) - 1 AS pos, digest, tree AS source FROM a{levels}
+    ), e0 AS (
+      SELECT d.doc_id, d.leaf, d.v, b.pos, d.proof, b.digest AS subroot
+      FROM d{levels} d JOIN b0 b ON d.source IS NOT DISTINCT FROM b.source
+    )""")
+    rise("b", "e", "0", "w.doc_id, w.leaf, w.subroot")
+    return "WITH " + ",\n".join(out) + f"""
+    SELECT doc_id, leaf, subroot, digest AS root, sha256(proof) AS proof_sha256, v AS folded_root, v = digest AS verified
+    FROM e{levels} JOIN b{levels} ON true"""
+
+
+ORACLE["op11_merkle"] = _merkle_sql(4)
+
+
 @query
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
