@@ -54,8 +54,8 @@ def plain(rows):
 
 def held(spark, rows):
     df = spark.createDataFrame(rows, "doc_id long, source string, text string, other string")
-    df = df.withColumn("leaf", merkle.leaf(["doc_id", "source", "text"])).withColumn("root", F.lit("clash"))
-    found = merkle.manifest(df.drop("text"), replacement="other")
+    df = merkle.leaves(df.withColumn("leaf", F.lit("clash")), ["doc_id", "source", "text"], ["doc_id", "source", "other", "leaf"])
+    found = merkle.manifest(df.withColumn("root", F.lit("clash")), replacement="other")
     assert found.columns == ["doc_id", "source", "other", "leaf", "subroot", "root", "proof", "folded_root"]
     return sorted(map(tuple, found.drop("source", "other").collect()), key=repr)
 

@@ -5,18 +5,19 @@ hashed, the state before each child is copied and kept, so that a changed child
 resuming the state at its slot with the replacement and the siblings to its right; what is left of
 it is never read again.
 
-Trees are built in blocks of 16^3 consecutive nodes: a block is one bounded group and gives one node
-three levels up, so a level costs no shuffle of its own and a group of any size is spread over its
-blocks. Then the blocks are gone through from the root down; each passes on what lies beside the
+Trees are built in blocks of 16^2 consecutive nodes: a block is one bounded group and gives one node
+two levels up, so a level costs no shuffle of its own and a group of any size is spread over its
+blocks; wider blocks would hold more proofs at once. Then the blocks are gone through from the root down; each passes on what lies beside the
 way up from each of its nodes.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Callable
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,20 +25,47 @@ from tidemark.llm.common import indexed, stored, without
 
 RUN = 16
 #: levels that one block spans, and its width
-LEVELS = 3
+LEVELS = 2
 BLOCK = RUN**LEVELS
 
 _NODES = "tree long, at long, n long, digest string"
 _WAY = "lefts array<string>, rights array<string>"
 
 
-def leaf(columns: list[Column | str]) -> Column:
-    """The digest of a row: of each value's UTF-8 length, a colon and the value; of `-` for null."""
-    fields = []
-    for c in columns:
-        text = (F.col(c) if isinstance(c, str) else c).cast("string")
-        fields.append(F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-")))
-    return F.sha2(F.concat(*fields).cast("binary"), 256)
+def leaves(df: DataFrame, columns: list[str], keep: list[str], digests: dict[str, dict[str, Callable[[bytes], bytes]]] | None = None) -> DataFrame:
+    """Some columns of all rows, with the digest of each row's values as `leaf`: of each value's
+    UTF-8 length, a colon and the value, one after the other, `-` for null.
+
+    `digests` names the digests otherwise, and gives for each the changes of values before hashing;
+    a null value stays null. Kept columns with these names are replaced.
+    """
+    digests = {"leaf": {}} if digests is None else digests
+    kept = without(df.select(*[F.col(f"`{c}`") for c in keep]), list(digests))
+    values = [F.col(f"`{c}`").cast("string").alias(f"_{i}") for i, c in enumerate(columns)]
+    source = df.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_row"), *values)
+    changed = [[changes.get(c) for c in columns] for changes in digests.values()]
+
+    def run(batches):
+        for batch in batches:
+            fields = [batch[f"_{i}"].cast(pa.binary()).to_pylist() for i in range(len(columns))]
+            found = [[_leaf(row, change) for row in zip(*fields)] for change in changed]
+            yield pa.RecordBatch.from_arrays([batch["_row"], *[pa.array(f, pa.string()) for f in found]], names=["_row", *digests])
+
+    schema = T.StructType([source.schema["_row"], *[T.StructField(n, T.StringType()) for n in digests]])
+    found = source.mapInArrow(run, schema)
+    return found.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept.columns], *digests)
+
+
+def _leaf(values: tuple[bytes | None, ...], changes: list) -> str:
+    state = hashlib.sha256()
+    for value, change in zip(values, changes):
+        if value is None:
+            state.update(b"-")
+            continue
+        value = change(value) if change else value
+        state.update(b"%d:" % len(value))
+        state.update(value)
+    return state.hexdigest()
 
 
 def fold(digest: str, way: list) -> str:

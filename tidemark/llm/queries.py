@@ -141,11 +141,10 @@ LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
 @query
 def op11_merkle(spark, sf):
     docs = table(spark, sf, "documents").select(*LEAF)
-    lowered = F.translate("text", ascii_uppercase, ascii_lowercase)
-    other = merkle.leaf([*LEAF[:-1], lowered])
-    tampered = F.when(common.crc_remainder("doc_id", 5) == 0, other)
-    leaves = docs.select("doc_id", "source", merkle.leaf(LEAF).alias("leaf"), tampered.alias("tampered"))
-    held = merkle.manifest(leaves, replacement="tampered")
+    lowered = {"text": lambda text: text.translate(common.LOWER)}
+    leaves = merkle.leaves(docs, LEAF, ["doc_id", "source"], {"leaf": {}, "tampered": lowered})
+    tampered = F.when(common.crc_remainder("doc_id", 5) == 0, F.col("tampered"))
+    held = merkle.manifest(leaves.withColumn("tampered", tampered), replacement="tampered")
     proof = F.sha2(F.col("proof").cast("binary"), 256).alias("proof_sha256")
     verified = (F.col("folded_root") == F.col("root")).alias("verified")
     return held.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", verified)
