@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, language_id, line_templates, merkle, nearest, quality, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, importance, language_id, line_templates, merkle, nearest, quality, simhash, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -205,6 +205,54 @@ def _merkle_sql(levels: int) -> str:
 ORACLE["op11_merkle"] = _merkle_sql(4)
 
 
+@query
+def op12_importance(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    corpus = importance.bucket_counts(docs)
+    gain = importance.gains(corpus, importance.bucket_counts(table(spark, sf, "benchmark")))
+    weighed = importance.weigh(docs, gain).select("doc_id", "n_words", "n_features", "weight")
+    return importance.draw(weighed, (5, 100)).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+# The crc32 of a feature goes through its UTF-8 bytes one by one, for each different feature.
+ORACLE["op12_importance"] = f"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY b) AS t FROM (
+    SELECT b, list_reduce(list_prepend(b, [0,0,0,0,0,0,0,0]),
+      lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS b))
+), texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'b', item_id, text FROM benchmark
+), words AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w, row_number() OVER () AS r FROM texts
+), runs AS (
+  SELECT kind, id, r, w, unnest(range(1, len(w) + 1)) AS i FROM words
+), features AS (
+  SELECT kind, id, r, unnest([w[i], CASE WHEN i + 1 <= len(w) THEN w[i] || ' ' || w[i + 1] END,
+    CASE WHEN i + 2 <= len(w) THEN w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END]) AS f FROM runs
+), different AS (
+  SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM features WHERE f IS NOT NULL)
+), hashed AS (
+  SELECT f, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, len(h) // 2),
+      lambda k: (instr('0123456789ABCDEF', h[2 * k + 1]) - 1) * 16 + instr('0123456789ABCDEF', h[2 * k + 2]) - 1)),
+    lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295) % 10000 AS bucket FROM different, crc_table
+), spread AS (SELECT kind, id, r, bucket FROM features JOIN hashed USING (f)),
+counts AS (SELECT bucket, count(*) FILTER (WHERE kind = 'd') AS s, count(*) FILTER (WHERE kind = 'b') AS t FROM spread GROUP BY bucket),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1) * CAST(sum(s) OVER () + 10000 AS DOUBLE) / ((s + 1) * CAST(sum(t) OVER () + 10000 AS DOUBLE)))) AS BIGINT) AS gain FROM counts
+), sums AS (SELECT r, count(*) AS n, sum(gain) AS weight FROM spread JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY r),
+scored AS (
+  SELECT id AS doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+    CAST(coalesce(weight, 0) AS BIGINT) + CAST(floor(-1000 * ln(-ln((CAST('0x' || sha256('42:' || id)[1:8] AS BIGINT) + 0.5) / 4294967296e0))) AS BIGINT) AS score
+  FROM words LEFT JOIN sums USING (r) WHERE kind = 'd'
+), ranked AS (
+  SELECT *, count(*) FILTER (WHERE fit) OVER () AS n, row_number() OVER (PARTITION BY fit ORDER BY score DESC, doc_id, weight, n_features) AS place
+  FROM (SELECT *, n_words >= 20 AND doc_id IS NOT NULL AS fit FROM scored)
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 5 * n // 100 THEN place END AS rank FROM ranked
+"""
+
+
 @query
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
