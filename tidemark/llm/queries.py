@@ -8,7 +8,7 @@ import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, importance, language_id, line_templates, merkle, nearest, quality, simhash, token_counts, warc
+from tidemark.llm import byte_bpe, common, context_mixing, decontaminate, importance, language_id, line_templates, merkle, nearest, quality, simhash, substrings, token_counts, warc
 from tidemark.llm.common import stored, table
 from tidemark.session import new_folder
 
@@ -253,6 +253,28 @@ SELECT doc_id, n_features, weight, score, CASE WHEN fit AND place <= 5 * n // 10
 """
 
 
+@query
+def op13_substrings(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    cut = substrings.cut(docs)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE["op13_substrings"] = """
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT r, doc_id, i, array_to_string(w[i : i + 12], ' ') AS s FROM (SELECT r, doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM docs)
+), firsts AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s),
+gone AS (
+  SELECT DISTINCT r, i + unnest(range(13)) AS i FROM (SELECT r, i FROM windows JOIN firsts USING (s) WHERE first < doc_id)
+), places AS (SELECT r, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM docs),
+kept AS (SELECT r, string_agg(word, ' ' ORDER BY i) AS kept, count(*) AS n FROM places ANTI JOIN gone USING (r, i) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (r)
+"""
+
+
 @query
 def pipeline(spark, sf):
     return corpus_pipeline.run(spark, sf)
