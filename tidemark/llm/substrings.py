@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.llm.common import slices, stored, without
+from tidemark.llm.common import bytes_of, slices, stored, without
 
 WORDS = 13
 #: the doubling begins at this length or below
@@ -31,7 +31,9 @@ _SLICE = 8_000_000
 _CACHED = 1_000_000
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _ODD = np.array([int.from_bytes(xxhash.xxh64_digest(str(i).encode()), "big") | 1 for i in range(4 * SHORTEST)], np.uint64)
-_ROWS = "known boolean, window long, check int, doc_id long"
+_ROWS = "window long, tag long, doc_id long"
+#: of a tag: the row is known to be kept on; the bits below are the check
+_KNOWN = 1 << 40
 
 
 def lengths(words: int) -> list[int]:
@@ -108,8 +110,10 @@ def _combined(window: np.ndarray, check: np.ndarray, doc: np.ndarray, last: bool
         group = np.cumsum(begins) - 1
         known, sent = np.bincount(group, later)[group] > 0 if len(doc) else later, begins
     at = np.concatenate((np.flatnonzero(known), np.flatnonzero(sent)))
-    flags = np.arange(len(at)) < np.count_nonzero(known)
-    return _batch(flags, window[at], check[at], doc[at])
+    tag = check[at].astype(np.int64)
+    tag[: np.count_nonzero(known)] |= _KNOWN
+    arrays = [pa.array(window[at].view(np.int64)), pa.array(tag), pa.array(doc[at])]
+    return pa.RecordBatch.from_arrays(arrays, names=["window", "tag", "doc_id"])
 
 
 def _begins(window: np.ndarray, check: np.ndarray) -> np.ndarray:
@@ -118,23 +122,18 @@ def _begins(window: np.ndarray, check: np.ndarray) -> np.ndarray:
     return out
 
 
-def _batch(known, window, check, doc) -> pa.RecordBatch:
-    arrays = [pa.array(known, pa.bool_()), pa.array(window.view(np.int64)), pa.array(check.astype(np.int32)), pa.array(doc)]
-    return pa.RecordBatch.from_arrays(arrays, names=["known", "window", "check", "doc_id"])
-
-
-def _emitted(steps: list[int], level: int, last: bool):
-    """Rows of a level from (doc_id, text[, repeated]), slice by slice."""
+def _emitted(doc_id: str, text: str, steps: list[int], level: int, last: bool):
+    """Rows of a level from ids, texts and, above the first, what repeats, slice by slice."""
     sampled = level == 0 and len(steps) > 1
 
     def run(batches: Iterator[pa.RecordBatch]):
         words_of = _Hashes()
         for batch in batches:
-            for part in slices(batch, "text", _SLICE):
+            for part in slices(batch, text, _SLICE):
                 windows, checks, docs = [], [], []
-                repeated = part["repeated"] if level else None
-                for i, (doc, text) in enumerate(zip(part["doc_id"].to_pylist(), part["text"].cast(pa.binary()).to_pylist())):
-                    words = np.array([words_of[w] for w in (text or b"").split()], np.uint64)
+                repeated = part["_repeated"] if level else None
+                for i, (doc, whole) in enumerate(zip(part[doc_id].to_pylist(), bytes_of(part, text))):
+                    words = np.array([words_of[w] for w in whole.split()], np.uint64)
                     found = _windows(words, steps[: level + 1 + sampled])
                     h, c = found[level]
                     if level:
@@ -162,8 +161,8 @@ def _met(last: bool):
     def run(batches: Iterator[pa.RecordBatch]):
         held = None
         for batch in batches:
-            known = batch["known"].to_numpy(zero_copy_only=False)
-            window, check, doc = (batch[c].to_numpy() for c in ("window", "check", "doc_id"))
+            window, check, doc = (batch[c].to_numpy() for c in ("window", "tag", "doc_id"))
+            known = check >= _KNOWN
             if known.any():
                 yield _found(doc[known], window[known])
                 window, check, doc = window[~known], check[~known], doc[~known]
@@ -185,33 +184,34 @@ def _met(last: bool):
 
 
 def _found(doc: np.ndarray, window: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(window)], names=["doc_id", "window"])
+    return pa.RecordBatch.from_arrays([pa.array(doc), pa.array(window)], names=["_id", "window"])
 
 
 def _survivors(rows: DataFrame, last: bool) -> DataFrame:
-    """(doc_id, repeated): the windows of each document that repeat, by the rows of all slices."""
+    """(_id, _repeated): the windows of each document that repeat, by the rows of all slices."""
     # what is known already has no one to meet, and is spread by document
-    met = rows.repartition(F.when(F.col("known"), F.xxhash64("doc_id")).otherwise(F.col("window")))
-    found = met.sortWithinPartitions("known", "window", "check", "doc_id").mapInArrow(_met(last), "doc_id long, window long")
-    return found.groupBy("doc_id").agg(F.collect_list("window").alias("repeated"))
+    met = rows.repartition(F.when(F.col("tag") >= _KNOWN, F.xxhash64("doc_id")).otherwise(F.col("window")))
+    found = met.sortWithinPartitions("window", "tag", "doc_id").mapInArrow(_met(last), "_id long, window long")
+    return found.groupBy("_id").agg(F.collect_list("window").alias("_repeated"))
 
 
 def _level(docs: DataFrame, survivors: DataFrame | None, steps: list[int], level: int, last: bool) -> DataFrame:
-    read = docs if survivors is None else docs.join(survivors, "doc_id")
-    return _survivors(read.mapInArrow(_emitted(steps, level, last), _ROWS), last)
+    doc_id, text = docs.columns
+    read = docs if survivors is None else docs.join(survivors, docs[doc_id] == survivors["_id"]).drop("_id")
+    return _survivors(read.mapInArrow(_emitted(doc_id, text, steps, level, last), _ROWS), last)
 
 
-def _docs(df: DataFrame, doc_id: str, text: str) -> DataFrame:
-    named = df.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    return named.filter("doc_id is not null")
+def _with_id(df: DataFrame, doc_id: str) -> DataFrame:
+    return df.withColumn(doc_id, F.col(f"`{doc_id}`").cast("long")).filter(F.col(f"`{doc_id}`").isNotNull())
 
 
 def repeats(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int = WORDS) -> DataFrame:
-    """(doc_id, repeated): for each document with a window of so many words that also begins in a
+    """(_id, _repeated): for each document with a window of so many words that also begins in a
     document with a smaller id, the hashes of these windows. Rows without an id take no part."""
     steps, survivors = lengths(words), None
+    docs = _with_id(df, doc_id).select(doc_id, text)
     for level in range(len(steps)):
-        survivors = _level(_docs(df, doc_id, text), survivors, steps, level, level == len(steps) - 1)
+        survivors = _level(docs, survivors, steps, level, level == len(steps) - 1)
     return survivors
 
 
@@ -226,32 +226,33 @@ def cut(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: int =
     df is read several times, so it must be stored or cheap.
     """
     new = {"n_words": "long", "removed": "array<struct<start:long,end:long>>", "n_removed": "long", "kept": "string"}
+    kept = without(df, list(new))
+    # with no other columns than these two, Spark uses the shuffle that the levels read once more
+    held = _with_id(kept, doc_id).select(doc_id, text, *[c for c in kept.columns if c not in (doc_id, text)])
+    found = repeats(kept, doc_id, text, words)
+    joined = held.join(found, held[doc_id] == found["_id"], "left").drop("_id")
+    no_id = kept.filter(F.col(f"`{doc_id}`").isNull()).withColumn("_repeated", F.lit(None).cast("array<long>"))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_row")
+    every = joined.unionByName(no_id).select(row, F.col(f"`{text}`").alias("_text"), "_repeated")
+
     steps = lengths(words)
-    columns = without(df, list(new)).columns
-    named = df.filter(F.col(f"`{doc_id}`").isNotNull()).select(F.col(f"`{doc_id}`").cast("long").alias("_id"), *[F.col(f"`{c}`") for c in columns])
-    found = repeats(df, doc_id, text, words)
-    joined = named.join(found.withColumnRenamed("doc_id", "_id").withColumnRenamed("repeated", "_repeated"), "_id", "left")
-    row = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("_row")
-    with_id = joined.select(row, F.col(f"`{text}`").alias("text"), "_repeated")
-    none = F.lit(None).cast("array<long>").alias("_repeated")
-    without_id = df.filter(F.col(f"`{doc_id}`").isNull()).select(row, F.col(f"`{text}`").alias("text"), none)
 
     def run(batches: Iterator[pa.RecordBatch]):
         words_of = _Hashes()
         for batch in batches:
-            for part in slices(batch, "text", _SLICE):
+            for part in slices(batch, "_text", _SLICE):
                 out = []
-                for i, t in enumerate(part["text"].cast(pa.binary()).to_pylist()):
+                for i, whole in enumerate(bytes_of(part, "_text")):
                     repeated = part["_repeated"][i]
-                    out.append(_cut((t or b"").split(), repeated.values.to_numpy().view(np.uint64) if repeated.is_valid else None, steps, words_of))
+                    out.append(_cut(whole.split(), repeated.values.to_numpy().view(np.uint64) if repeated.is_valid else None, steps, words_of))
                 arrays = [pa.array(x, k) for x, k in zip(zip(*out), kinds)]
                 yield pa.RecordBatch.from_arrays([part["_row"], *arrays], names=["_row", *new])
 
     span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
     kinds = [pa.int64(), span, pa.int64(), pa.string()]
-    schema = T.StructType([with_id.schema["_row"], *[T.StructField(n, T._parse_datatype_string(t)) for n, t in new.items()]])
-    done = with_id.unionByName(without_id).mapInArrow(run, schema)
-    return done.select(*[F.col(f"_row.`{c}`").alias(c) for c in columns], *new)
+    schema = T.StructType([every.schema["_row"], *[T.StructField(n, T._parse_datatype_string(t)) for n, t in new.items()]])
+    done = every.mapInArrow(run, schema)
+    return done.select(*[F.col(f"_row.`{c}`").alias(c) for c in kept.columns], *new)
 
 
 def _cut(words: list[bytes], repeated: np.ndarray | None, steps: list[int], words_of: _Hashes) -> tuple:
@@ -277,13 +278,14 @@ def longest(df: DataFrame, doc_id: str = "doc_id", text: str = "text", words: in
     Rows without an id take no part. df must be stored or cheap.
     """
     steps, survivors, level = lengths(words), None, 0
+    docs = _with_id(df, doc_id).select(doc_id, text)
     out = df.sparkSession.createDataFrame([], "doc_id long, words long")
     while True:
         if level == len(steps):
             steps = [*steps, 2 * steps[-1]]
-        survivors = stored(_level(_docs(df, doc_id, text), survivors, steps, level, False), "repeats")
+        survivors = stored(_level(docs, survivors, steps, level, False), "repeats")
         if survivors.isEmpty():
             return out.groupBy("doc_id").agg(F.max("words").alias("words"))
         if steps[level] >= words:
-            out = out.unionByName(survivors.select("doc_id", F.lit(steps[level]).cast("long").alias("words")))
+            out = out.unionByName(survivors.select(F.col("_id").alias("doc_id"), F.lit(steps[level]).cast("long").alias("words")))
         level += 1
