@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, common, decontaminate, language_id, line_templates, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-#: more fingerprints find more of the near copies that are just within the wanted similarity
-FINGERPRINTS = tuple(f"fingerprint_{i}" for i in range(8))
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,11 +31,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with like fingerprints the one with the smallest doc_id stays."""
-    hashed = simhash.fingerprints(docs.select(*COLUMNS), out=FINGERPRINTS)
+    """Of documents whose fingerprints of three-word shingles are linked over at most 3 bits, the one
+    with the smallest doc_id stays; a null doc_id is the greatest, of repeated rows any one stays.
+    Null and blank texts share a fingerprint, as equal texts do."""
+    hashed = simhash.fingerprints(docs.select(*COLUMNS), words_each=3)
     hashed = common.stored(hashed.withColumn("row", F.monotonically_increasing_id()), "fingerprints")
-    narrow = hashed.select("row", "doc_id", *FINGERPRINTS)
-    grouped = simhash.groups(narrow, "row", FINGERPRINTS).join(narrow.select("row", "doc_id"), "row")
+    narrow = hashed.select("row", "doc_id", "fingerprint")
+    grouped = simhash.groups(narrow, "row", ("fingerprint",), most=3).join(narrow.select("row", "doc_id"), "row")
     order = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
     chosen = grouped.groupBy("group").agg(F.min_by("row", order).alias("row")).select("row")
     return hashed.join(chosen, "row", "left_semi").select(*COLUMNS)
