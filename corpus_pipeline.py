@@ -13,18 +13,27 @@ from pyspark.sql import functions as F
 from tidemark.llm import byte_bpe, common, decontaminate, language_id, line_templates, simhash
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: Texts are long, so what goes to a Python worker at a time is bounded by bytes rather than by rows.
+BATCH_BYTES = "8m"
+
+
+def _documents(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """The columns of documents; from here on the session's Arrow batches hold at most BATCH_BYTES."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    return docs.select(*COLUMNS)
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a known language: those that the language model rejects, or without a letter, go."""
+    docs = _documents(spark, docs)
     model = language_id.fit(docs)
-    found = language_id.predict(docs.select(*COLUMNS), model)
+    found = language_id.predict(docs, model)
     return found.filter(~F.col("lang_rejected")).select(*COLUMNS)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of recurring templates go, all but one document's; documents of which nothing is left go."""
-    cut = line_templates.dedup(docs.select(*COLUMNS))
+    cut = line_templates.dedup(_documents(spark, docs))
     emptied = F.col("dropped_lines").isNotNull() & (F.trim(F.regexp_replace("text", r"\s+", " ")) == "")
     length = F.when(F.col("dropped_lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long"))
     return cut.filter(~emptied).withColumn("n_chars", length).select(*COLUMNS)
@@ -34,7 +43,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents whose fingerprints of three-word shingles are linked over at most 3 bits, the one
     with the smallest doc_id stays; a null doc_id is the greatest, of repeated rows any one stays.
     Null and blank texts share a fingerprint, as equal texts do."""
-    hashed = simhash.fingerprints(docs.select(*COLUMNS), words_each=3)
+    hashed = simhash.fingerprints(_documents(spark, docs), words_each=3)
     hashed = common.stored(hashed.withColumn("row", F.monotonically_increasing_id()), "fingerprints")
     narrow = hashed.select("row", "doc_id", "fingerprint")
     grouped = simhash.groups(narrow, "row", ("fingerprint",), most=3).join(narrow.select("row", "doc_id"), "row")
@@ -45,14 +54,14 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that contain a benchmark item, as it is or with other values, go."""
-    marked = decontaminate.mark(docs.select(*COLUMNS), common.table(spark, sf_dir, "benchmark"))
+    marked = decontaminate.mark(_documents(spark, docs), common.table(spark, sf_dir, "benchmark"))
     return marked.filter(F.size("leaks") == 0).select(*COLUMNS)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each text, their number, and whether decoding them gives the text again."""
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.decode(byte_bpe.encode(docs.select(*COLUMNS), ranks), ranks)
+    encoded = byte_bpe.decode(byte_bpe.encode(_documents(spark, docs), ranks), ranks)
     whole = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     return encoded.select(*COLUMNS, F.size("ids").cast("long").alias("n_tokens"), "ids", whole.alias("round_trip"))
 
