@@ -391,6 +391,18 @@ def orders_daily(spark, sf):
     return marts.orders_daily(_stg_orders(spark, sf))
 
 
+@query
+def orders_daily_any_amount(spark, sf):
+    """Days with amounts of any size: huge, tiny, NaN and infinite ones, through validation and staging."""
+    odd = F.expr(
+        "CASE ingest_seq % 101 WHEN 0 THEN double('NaN') WHEN 1 THEN double('Infinity') WHEN 2 THEN 1e30D "
+        "WHEN 3 THEN 4e-13D ELSE amount END"
+    )
+    raw = fixture.orders_raw(spark, sf).withColumn("amount", odd)
+    good = validate.good_rows(validate.with_reject_reason(raw, ORDERS.record_type))
+    return marts.orders_daily(staging.stg_orders(good, [fixture.SEQUENCE]))
+
+
 @query
 def clicks_daily(spark, sf):
     return marts.clicks_daily(_stg_clicks(spark, sf))

@@ -14,13 +14,15 @@ def order(spark, *amounts):
 
 
 def test_order_amounts(spark, rows):
-    df = v.with_reject_reason(order(spark, 0.0, -0.01, None, float("nan"), 5.0), "order")
+    df = v.with_reject_reason(order(spark, 0.0, -0.01, None, float("nan"), float("inf"), 1e30, 5.0), "order")
     found = {repr(r.amount): r.reject_reason for r in df.collect()}
     assert found == {
         "0.0": "BUSINESS_RULE_VIOLATION",
         "-0.01": "BUSINESS_RULE_VIOLATION",
         "None": "NULL_REQUIRED_FIELD",
-        "nan": None,
+        "nan": "BUSINESS_RULE_VIOLATION",  # no number: such an amount would make its day's totals none either
+        "inf": "BUSINESS_RULE_VIOLATION",
+        "1e+30": None,
         "5.0": None,
     }
 

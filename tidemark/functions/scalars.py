@@ -38,29 +38,6 @@ def round_to(c: Column | str, digits: int) -> Column:
     return F.round(_col(c).cast("double"), digits)
 
 
-def exact_sum(c: Column | str) -> Column:
-    """Sum of doubles that does not depend on row order.
-
-    Values are summed as decimals with 12 digits behind the point and 26 before it. A value or
-    a sum that does not fit, NaN or an infinity is an error, never a different kind of sum.
-    """
-    c = _col(c)
-    as_decimal = c.try_cast("decimal(38,12)")
-    unfit = F.raise_error(F.concat(F.lit("no exact sum holds "), c.cast("string")))
-    fit = F.when(c.isNotNull() & as_decimal.isNull(), unfit.cast("decimal(38,12)")).otherwise(as_decimal)
-    return F.sum(fit).cast("double")
-
-
-def exact_avg(c: Column | str) -> Column:
-    return exact_sum(c) / F.nullif(F.count(_col(c)), F.lit(0))
-
-
-def share_pct(condition: Column) -> Column:
-    """Percentage of a group's rows that meet the condition, two digits."""
-    hits = F.count_if(F.coalesce(condition, F.lit(False)))
-    return round_to(hits * F.lit(100.0) / F.nullif(F.count(F.lit(1)), F.lit(0)), 2)
-
-
 def band_below(c: Column | str, limits: dict, otherwise: str) -> Column:
     """Label of the first limit that the value lies strictly below; limits in rising order."""
     c, out = _col(c), None

@@ -1,126 +1,197 @@
-"""Mart models: daily health, anomaly and business aggregates."""
+"""Mart models: daily health, anomaly and business aggregates.
+
+Every stream is totalled by key on its own. What a mart brings together is then laid one below the
+other and meets in one small grouping, so no mart needs a join.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import scalars as fx
+from tidemark.operators.totals import mean, totals
+
+
+def _count(condition: Column | str) -> tuple[str, Column]:
+    return "count", F.col(condition) if isinstance(condition, str) else condition
+
+
+def _rows() -> tuple[str, Column]:
+    return "count", F.lit(True)
 
 
-def _flagged(column: str):
-    return F.count_if(F.coalesce(F.col(column), F.lit(False)))
+def _share(hits: str, rows: str) -> Column:
+    return fx.round_to(F.col(hits) * F.lit(100.0) / F.nullif(F.col(rows), F.lit(0)), 2)
 
 
-def _rows():
-    return F.count(F.lit(1))
+def _laid_together(frames: list[DataFrame], keys: list[str]) -> DataFrame:
+    """A row per key with the columns of all frames, each of which has a key at most once."""
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return every.groupBy(*keys).agg(*[F.max(c).alias(c) for c in every.columns if c not in keys])
 
 
-def daily_profiles(stg_profiles: DataFrame) -> DataFrame:
-    return stg_profiles.groupBy("topic", fx.day_of("profile_ts").alias("stat_date")).agg(
-        _rows().alias("total_batches"),
-        F.sum("record_count").alias("total_records"),
-        F.avg("record_count").alias("avg_batch_size"),
-        F.min("record_count").alias("min_batch_size"),
-        F.max("record_count").alias("max_batch_size"),
-        fx.exact_avg("null_rate_avg").alias("avg_null_rate"),
-        F.max("null_rate_max").alias("max_null_rate"),
-        _flagged("is_schema_drift").alias("schema_drift_events"),
+# --------------------------------------------------------------------------- health
+
+
+def profile_days(stg_profiles: DataFrame) -> DataFrame:
+    records = F.col("record_count")
+    return totals(
+        stg_profiles,
+        {"topic": F.col("topic"), "stat_date": fx.day_of("profile_ts")},
+        {"null_rate": F.col("null_rate_avg")},
+        batches=_rows(),
+        records=("sum", records),
+        sized=_count(records.isNotNull()),
+        smallest=("min", records),
+        largest=("max", records),
+        worst_null_rate=("max", F.col("null_rate_max")),
+        drifted=_count("is_schema_drift"),
     )
 
 
-def daily_anomalies(stg_anomalies: DataFrame) -> DataFrame:
+def anomaly_days(stg_anomalies: DataFrame) -> DataFrame:
     severity = F.col("severity")
-    return stg_anomalies.groupBy("topic", F.col("scored_date").alias("stat_date")).agg(
-        _rows().alias("anomaly_count"),
-        fx.exact_avg("anomaly_score").alias("avg_anomaly_score"),
-        F.min("anomaly_score").alias("min_anomaly_score"),
-        F.count_if(severity == "CRITICAL").alias("critical_count"),
-        F.count_if(severity == "HIGH").alias("high_count"),
-        F.count_if(severity == "MEDIUM").alias("medium_count"),
-        _flagged("is_schema_drift").alias("schema_anomalies"),
+    return totals(
+        stg_anomalies,
+        {"topic": F.col("topic"), "stat_date": F.col("scored_date")},
+        {"score": F.col("anomaly_score")},
+        anomalies=_rows(),
+        critical=_count(severity == "CRITICAL"),
+        high=_count(severity == "HIGH"),
+        medium=_count(severity == "MEDIUM"),
+        drift_anomalies=_count("is_schema_drift"),
     )
 
 
-def mart_pipeline_health(
-    stg_profiles: DataFrame, stg_anomalies: DataFrame, as_of: str
-) -> DataFrame:
-    """Health per topic and day. Days that only have anomalies are not reported."""
-    profiles, anomalies = daily_profiles(stg_profiles), daily_anomalies(stg_anomalies)
-    joined = profiles.join(anomalies, ["topic", "stat_date"], "left")
+def mart_pipeline_health(stg_profiles: DataFrame, stg_anomalies: DataFrame, as_of: str) -> DataFrame:
+    """Health per topic and day. Days that only have anomalies are not reported, and anomalies
+    without a topic or day belong to no profile."""
+    found = anomaly_days(stg_anomalies.filter("topic IS NOT NULL AND scored_date IS NOT NULL"))
+    days = _laid_together([profile_days(stg_profiles), found], ["topic", "stat_date"]).filter("batches IS NOT NULL")
 
-    def count0(name: str):
+    def or0(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0))
 
-    failed_share = count0("anomaly_count") / F.nullif(F.col("total_batches"), F.lit(0))
-    return joined.select(
+    failed = or0("anomalies") / F.nullif(F.col("batches"), F.lit(0))
+    return days.select(
         "topic",
         "stat_date",
-        "total_batches",
-        "total_records",
-        fx.round_to("avg_batch_size", 0).alias("avg_batch_size"),
-        "min_batch_size",
-        "max_batch_size",
-        fx.round_to(F.col("avg_null_rate") * 100, 2).alias("avg_null_pct"),
-        fx.round_to(F.col("max_null_rate") * 100, 2).alias("max_null_pct"),
-        "schema_drift_events",
-        count0("anomaly_count").alias("anomaly_count"),
-        count0("critical_count").alias("critical_anomalies"),
-        count0("high_count").alias("high_anomalies"),
-        count0("medium_count").alias("medium_anomalies"),
-        count0("schema_anomalies").alias("schema_anomalies"),
-        fx.round_to("avg_anomaly_score", 6).alias("avg_anomaly_score"),
-        fx.round_to((1 - failed_share) * 100, 2).alias("pipeline_sla_pct"),
+        F.col("batches").alias("total_batches"),
+        F.col("records").alias("total_records"),
+        fx.round_to(F.col("records") / F.nullif(F.col("sized"), F.lit(0)), 0).alias("avg_batch_size"),
+        F.col("smallest").alias("min_batch_size"),
+        F.col("largest").alias("max_batch_size"),
+        fx.round_to(mean("null_rate") * 100, 2).alias("avg_null_pct"),
+        fx.round_to(F.col("worst_null_rate") * 100, 2).alias("max_null_pct"),
+        F.col("drifted").alias("schema_drift_events"),
+        or0("anomalies").alias("anomaly_count"),
+        or0("critical").alias("critical_anomalies"),
+        or0("high").alias("high_anomalies"),
+        or0("medium").alias("medium_anomalies"),
+        or0("drift_anomalies").alias("schema_anomalies"),
+        fx.round_to(mean("score"), 6).alias("avg_anomaly_score"),
+        fx.round_to((1 - failed) * 100, 2).alias("pipeline_sla_pct"),
         fx.as_of_ts(as_of).alias("dbt_updated_at"),
     )
 
 
 def mart_anomaly_summary(stg_anomalies: DataFrame, as_of: str) -> DataFrame:
     """Anomalies per day, topic and severity."""
-    return (
-        stg_anomalies.groupBy(F.col("scored_date").alias("stat_date"), "topic", "severity")
-        .agg(
-            _rows().alias("anomaly_count"),
-            fx.round_to(fx.exact_avg("anomaly_score"), 6).alias("avg_score"),
-            fx.round_to(F.min("anomaly_score"), 6).alias("min_score"),
-            _flagged("is_schema_drift").alias("schema_drift_count"),
-            F.count_distinct("batch_id").alias("affected_batches"),
-            F.min("scored_at").alias("first_seen"),
-            F.max("scored_at").alias("last_seen"),
-        )
-        .withColumn("dbt_updated_at", fx.as_of_ts(as_of))
+    scored_at = F.col("scored_at")
+    found = totals(
+        stg_anomalies,
+        {"stat_date": F.col("scored_date"), "topic": F.col("topic"), "severity": F.col("severity")},
+        {"score": F.col("anomaly_score")},
+        distinct=("affected_batches", F.col("batch_id")),
+        anomaly_count=_rows(),
+        lowest=("min", F.col("anomaly_score")),
+        schema_drift_count=_count("is_schema_drift"),
+        first_seen=("min", scored_at),
+        last_seen=("max", scored_at),
+    )
+    return found.select(
+        "stat_date",
+        "topic",
+        "severity",
+        "anomaly_count",
+        fx.round_to(mean("score"), 6).alias("avg_score"),
+        fx.round_to("lowest", 6).alias("min_score"),
+        "schema_drift_count",
+        "affected_batches",
+        "first_seen",
+        "last_seen",
+        fx.as_of_ts(as_of).alias("dbt_updated_at"),
     )
 
 
+# --------------------------------------------------------------------------- business
+
+
 def orders_daily(stg_orders: DataFrame) -> DataFrame:
     """Business totals per order date. Orders are unique by order_id after staging."""
-    return stg_orders.groupBy("event_date").agg(
-        F.count("order_id").alias("total_orders"),
-        F.count_distinct("customer_id").alias("unique_customers"),
-        fx.exact_sum("total_value").alias("total_gmv"),
-        fx.exact_avg("amount").alias("avg_order_value"),
-        fx.share_pct(F.col("status") == "DELIVERED").alias("delivery_rate_pct"),
-        fx.share_pct(F.col("status") == "CANCELLED").alias("cancellation_rate_pct"),
+    status = F.col("status")
+    found = totals(
+        stg_orders,
+        {"event_date": F.col("event_date")},
+        {"total_gmv": F.col("total_value"), "paid": F.col("amount")},
+        distinct=("unique_customers", F.col("customer_id")),
+        rows=_rows(),
+        total_orders=_count(F.col("order_id").isNotNull()),
+        delivered=_count(status == "DELIVERED"),
+        cancelled=_count(status == "CANCELLED"),
+    )
+    return found.select(
+        "event_date",
+        "total_orders",
+        "unique_customers",
+        "total_gmv",
+        mean("paid").alias("avg_order_value"),
+        _share("delivered", "rows").alias("delivery_rate_pct"),
+        _share("cancelled", "rows").alias("cancellation_rate_pct"),
     )
 
 
 def clicks_daily(stg_clickstream: DataFrame) -> DataFrame:
     """Session totals per day. Sessions are unique by session_id after staging."""
-    return stg_clickstream.groupBy("event_date").agg(
-        F.count("session_id").alias("total_sessions"),
-        F.count_distinct("user_id").alias("unique_users"),
-        _flagged("is_conversion_action").alias("conversion_events"),
-        fx.exact_avg("duration_sec").alias("avg_session_sec"),
-        fx.share_pct(F.col("is_conversion_action")).alias("conversion_rate_pct"),
+    found = totals(
+        stg_clickstream,
+        {"event_date": F.col("event_date")},
+        {"seconds": F.col("duration_sec")},
+        distinct=("unique_users", F.col("user_id")),
+        rows=_rows(),
+        total_sessions=_count(F.col("session_id").isNotNull()),
+        conversion_events=_count("is_conversion_action"),
+    )
+    return found.select(
+        "event_date",
+        "total_sessions",
+        "unique_users",
+        "conversion_events",
+        mean("seconds").alias("avg_session_sec"),
+        _share("conversion_events", "rows").alias("conversion_rate_pct"),
     )
 
 
 def inventory_daily(stg_inventory: DataFrame) -> DataFrame:
-    return stg_inventory.groupBy("event_date").agg(
-        F.count_distinct("sku").alias("unique_skus_tracked"),
-        F.count_if(F.col("stock_status") == "CRITICAL").alias("critical_stock_skus"),
-        _flagged("restock_flag").alias("restock_triggered"),
-        F.avg("available_qty").alias("avg_available_qty"),
+    available = F.col("available_qty")
+    found = totals(
+        stg_inventory,
+        {"event_date": F.col("event_date")},
+        distinct=("unique_skus_tracked", F.col("sku")),
+        critical_stock_skus=_count(F.col("stock_status") == "CRITICAL"),
+        restock_triggered=_count("restock_flag"),
+        available=("sum", available.cast("bigint")),
+        known=_count(available.isNotNull()),
+    )
+    return found.select(
+        "event_date",
+        "unique_skus_tracked",
+        "critical_stock_skus",
+        "restock_triggered",
+        (F.col("available") / F.nullif(F.col("known"), F.lit(0))).alias("avg_available_qty"),
     )
 
 
@@ -129,21 +200,24 @@ def mart_stream_overview(
 ) -> DataFrame:
     """One row per day over the three streams.
 
-    Both outer joins compare with the orders date, so a day that has clicks and inventory but
-    no orders yields two rows.
+    Clicks and inventory join a day through its orders: without orders, or without a day, each of
+    them has a row of its own.
     """
-    o = orders_daily(stg_orders).alias("o")
-    c = clicks_daily(stg_clickstream).alias("c")
-    i = inventory_daily(stg_inventory).alias("i")
-    joined = o.join(c, F.expr("o.event_date = c.event_date"), "full_outer").join(
-        i, F.expr("o.event_date = i.event_date"), "full_outer"
-    )
-
-    def or0(name: str):
-        return F.coalesce(F.col(name), F.lit(0))
-
-    return joined.select(
-        F.coalesce("o.event_date", "c.event_date", "i.event_date").alias("stat_date"),
+    streams = {"orders": orders_daily(stg_orders), "clicks": clicks_daily(stg_clickstream), "stock": inventory_daily(stg_inventory)}
+    measures = {name: [c for c in df.columns if c != "event_date"] for name, df in streams.items()}
+    marked = [df.withColumn(f"has_{name}", F.lit(True)) for name, df in streams.items()]
+    days = _laid_together(marked, ["event_date"])
+    apart = F.filter(F.array(*[F.when(F.col(f"has_{n}"), F.array(F.lit(n))) for n in streams]), lambda x: x.isNotNull())
+    together = F.col("has_orders") & F.col("event_date").isNotNull()
+    rows = F.when(together, F.array(F.array(*map(F.lit, streams)))).otherwise(apart)
+    held = days.withColumn("_streams", F.explode(rows))
+
+    def or0(name: str) -> Column:
+        stream = next(n for n, columns in measures.items() if name in columns)
+        return F.coalesce(F.when(F.array_contains("_streams", stream), F.col(name)), F.lit(0))
+
+    return held.select(
+        F.col("event_date").alias("stat_date"),
         or0("total_orders").alias("total_orders"),
         or0("unique_customers").alias("unique_customers"),
         fx.round_to(or0("total_gmv"), 2).alias("total_gmv"),

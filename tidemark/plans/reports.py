@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark import fixed_values as fv
 from tidemark.functions import scalars as fx
+from tidemark.operators.totals import mean, totals
 
 HEALTH_COLUMNS = (
     "total_records", "anomaly_count", "critical_anomalies", "pipeline_sla_pct", "avg_null_pct",
@@ -91,13 +92,17 @@ def schema_changes(changes: DataFrame, as_of: str, days: int = 30) -> DataFrame:
 
 def system_summary(health: DataFrame, date: str) -> DataFrame:
     """Totals over all topics on one date; one row even when there is no data."""
-    return health.filter(F.col("stat_date") == fx.as_of_ts(date)).agg(
-        F.sum("total_records").alias("total_records_today"),
-        F.sum("anomaly_count").alias("total_anomalies_today"),
-        F.sum("critical_anomalies").alias("total_critical_today"),
-        fx.exact_avg("pipeline_sla_pct").alias("avg_sla_today"),
-        F.sum("schema_drift_events").alias("total_schema_drifts"),
+    found = totals(
+        health.filter(F.col("stat_date") == fx.as_of_ts(date)),
+        {"all": F.lit(True)},
+        {"sla": F.col("pipeline_sla_pct")},
+        total_records_today=("sum", F.col("total_records")),
+        total_anomalies_today=("sum", F.col("anomaly_count")),
+        total_critical_today=("sum", F.col("critical_anomalies")),
+        total_schema_drifts=("sum", F.col("schema_drift_events")),
     )
+    found = found.withColumn("avg_sla_today", mean("sla")).drop("all", "sla", "sla_count")
+    return found.agg(*[F.max(c).alias(c) for c in found.columns])
 
 
 def sla_report(health: DataFrame, as_of: str) -> DataFrame:

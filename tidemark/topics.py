@@ -51,7 +51,7 @@ ORDERS = Topic(
     payload_ddl=fv.ORDER_PAYLOAD,
     metadata_ddl=f"{fv.INGEST_METADATA}, ingest_date date",
     required=fv.ORDER_REQUIRED,
-    rule="amount > 0",
+    rule="amount > 0 AND amount < double('Infinity')",  # which NaN and infinities do not meet
     rule_repairs={"amount": F.abs},
     null_defaults=fv.ORDER_DEFAULTS,
 )
