@@ -288,6 +288,23 @@ def stored_upsert_inventory(spark, sf):
     return table.read()
 
 
+@query
+def backfilled_inventory_staged(spark, sf):
+    """A backfill of old movements arrives after the newer ones, in a run of an earlier time: it wins.
+
+    The days of the first load are folded in between."""
+    warehouse = Warehouse(spark, new_folder(spark, "backfill"))
+    raw = fixture.inventory_raw(spark, sf)
+    late = F.col("ingested_at") > fx.as_of_ts(CUTOFF)
+    for i, (rows, as_of) in enumerate(((raw.filter(late), "2024-02-02"), (raw.filter(~late | (F.col("stock_level") % 7 == 0)), "2024-02-01"))):
+        for half in range(2):
+            mine = rows.filter(F.pmod(F.xxhash64("sku", "warehouse_id", "event_time"), F.lit(2)) == half)
+            warehouse.write_load(mine, "inventory_raw", f"backfill {half}", i, F.lit("2024-01-31").cast("date"))
+        jobs.run_staging(warehouse, f"{as_of} 00:00:00")
+        jobs.fold_closed_days(warehouse, "2024-02-01", f"{as_of} 01:00:00")
+    return warehouse.read("stg_inventory")
+
+
 @query
 def late_profiles_staged(spark, sf):
     """Loads that arrive in another order than their times, staged after each."""
@@ -366,6 +383,21 @@ def new_columns(spark, sf):
     return drift.new_columns(keys, CLICKS, existing=["extra_metadata"])
 
 
+@query
+def keys_catalogued(spark, sf):
+    """Two rounds of healing, each over the quarantine loads since the one before."""
+    warehouse = Warehouse(spark, new_folder(spark, "keys"))
+    records = _quarantine_json(spark, sf).withColumn("reject_reason", F.lit("SCHEMA_DRIFT"))
+    for i, more in enumerate(("event_id % 103 <> 0 AND event_id % 2 = 0", "event_id % 2 = 1 OR event_id % 103 = 0")):
+        mine = records.filter(more).select(
+            "topic", F.col("batch_id").cast("bigint").alias("batch_id"), "reject_reason", "record_json",
+            F.col("ingested_at").alias("quarantine_ts"),
+        )
+        warehouse.write_load(mine, "quarantine_log", "round", i, F.lit("2024-01-31").cast("date"))
+        jobs.heal_schema(warehouse, CLICKS, i, f"2024-02-0{i + 1} 00:00:00")
+    return warehouse.read("payload_keys")
+
+
 def _schema_change(spark, sf) -> DataFrame:
     keys = drift.incoming_keys(_quarantine_json(spark, sf))
     found = drift.new_columns(keys, CLICKS)

@@ -202,7 +202,7 @@ def test_loads_are_staged_whatever_their_times(spark, warehouse):
         warehouse.write_load(profile(i, topic, at), "stream_profiles", topic, 0, "created_at")
         jobs.run_staging(warehouse, f"2024-02-01 00:00:0{i}")
     assert sorted(r.profile_id for r in warehouse.read("stg_stream_profiles").collect()) == [1, 2, 3]
-    assert jobs.unstaged(warehouse, "stg_stream_profiles", "stream_profiles").isEmpty()
+    assert not jobs.pending(warehouse, "stg_stream_profiles", "stream_profiles")
 
 
 def test_runs_of_one_time_keep_each_others_loads(spark, warehouse):

@@ -54,6 +54,7 @@ DEAD_LETTER_REPLAYS = (
 STAGED_LOADS = (
     "model string, source_load_source string, source_load_batch string, staged_at timestamp_ntz"
 )
+PAYLOAD_KEYS = "topic string, key string, first_seen timestamp_ntz"
 QUALITY_RESULTS = (
     "table_name string, check_kind string, column_name string, violations bigint, "
     "passed boolean, checked_at timestamp_ntz"

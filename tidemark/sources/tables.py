@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from typing import NamedTuple
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -14,6 +16,7 @@ from tidemark import fixed_values as fv
 from tidemark.operators.drift import healed_columns
 from tidemark.operators.upsert import StagedTable
 from tidemark.plans.staging import MODELS, NEWEST, UNIQUE_KEYS
+from tidemark.sources import folders
 from tidemark.topics import TOPICS, struct_of
 
 
@@ -34,6 +37,7 @@ CONTRACTS: dict[str, str] = {
     "dead_letter_replays": fv.DEAD_LETTER_REPLAYS,
     "quality_results": fv.QUALITY_RESULTS,
     "staged_loads": fv.STAGED_LOADS,
+    "payload_keys": fv.PAYLOAD_KEYS,
 }
 NOT_NULL: dict[str, tuple[str, ...]] = {"stream_profiles": fv.REQUIRED_IN_PROFILES}
 # Named sources of the models
@@ -51,12 +55,23 @@ LAYERS = {
     "dead_letter_replays": "alerts",
     "quality_results": "metrics",
     "staged_loads": "metrics",
+    "payload_keys": "metrics",
     **{name: "staging" for name in UNIQUE_KEYS},
     "mart_pipeline_health": "marts",
     "mart_anomaly_summary": "marts",
     "mart_stream_overview": "marts",
 }
 LOAD_COLUMNS = ("load_date", "load_source", "load_batch")
+#: what a file of a folded day holds at most, by the size of the files it comes from
+FOLDED_BYTES = 128 << 20
+
+
+class Load(NamedTuple):
+    """One load of a table: a folder of its own, unless its day was folded."""
+
+    date: str
+    source: str
+    batch: str
 
 
 def contract_of(table: str, added: Sequence[str] = ()) -> StructType:
@@ -108,8 +123,8 @@ class Warehouse:
         return f"{self.root}/{LAYERS[table]}/{table}"
 
     def work(self, purpose: str) -> str:
-        """Folder for an intermediate table; the next run of the same step replaces it."""
-        return f"{self.root}/_work/{purpose}"
+        """A new folder for an intermediate table."""
+        return f"{self.root}/_work/{purpose}-{uuid.uuid4().hex}"
 
     def staged(self, table: str) -> StagedTable:
         return StagedTable(self.spark, self.path(table), UNIQUE_KEYS[table], NEWEST[table])
@@ -117,22 +132,89 @@ class Warehouse:
     def exists(self, table: str) -> bool:
         if table in UNIQUE_KEYS:
             return self.staged(table).exists()
+        if table not in CONTRACTS:
+            return bool(self._versions(table))
         return self.loads(table) is not None
 
     def loads(self, table: str, added: Sequence[str] = ()) -> DataFrame | None:
         """A loaded table with its load columns, None when it was never written.
 
-        The schema is given, not inferred, so no file is opened to plan a read.
+        The schema is given, not inferred, so no file is opened to plan a read. A load that has a
+        folder counts as it is there, also when its day was folded before.
         """
         schema = contract_of(table, added)
+        names = list(schema.names)
         for name, kind in zip(LOAD_COLUMNS, ("date", "string", "string")):
             schema = schema.add(name, kind)
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(table))
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
+        open_loads, days = self.open_loads(table), self.folded_days(table)
+        out = None
+        if open_loads:
+            out = self.spark.read.schema(schema).parquet(self.path(table))
+        if days:
+            folded = self.spark.read.schema(schema).parquet(self._days(table))
+            again = [n for n in open_loads if n.date in days]
+            if again:
+                late = self.spark.createDataFrame(again, "load_date string, load_source string, load_batch string")
+                late = late.withColumn("load_date", F.col("load_date").cast("date"))
+                folded = folded.join(late, [*LOAD_COLUMNS], "left_anti")
+            folded = folded.select(*names, *LOAD_COLUMNS)
+            out = folded if out is None else out.unionByName(folded)
+        return out
+
+    def open_loads(self, table: str) -> list[Load]:
+        """The loads that have folders, from their names. There are few: days that are over get folded."""
+        return [Load(*x) for x in folders.partitions(self.spark, self.path(table), LOAD_COLUMNS)]
+
+    def folded_days(self, table: str) -> set[str]:
+        return {d for (d,) in folders.partitions(self.spark, self._days(table), ("load_date",))}
+
+    def read_loads(self, table: str, loads: Sequence[Load]) -> DataFrame:
+        """The rows of some loads that have folders. Which ones is a literal filter on the partition
+        columns, so no other folder's files are planned or opened."""
+        added = self.added_columns(table)
+        schema = contract_of(table, added)
+        names = list(schema.names)
+        for name, kind in zip(LOAD_COLUMNS, ("date", "string", "string")):
+            schema = schema.add(name, kind)
+        groups: dict[tuple[str, str], list[str]] = {}
+        for load in loads:
+            groups.setdefault((load.date, load.source), []).append(load.batch)
+        date, source, batch = map(F.col, LOAD_COLUMNS)
+        one = [(date == F.lit(d).cast("date")) & (source == s) & batch.isin(b) for (d, s), b in groups.items()]
+        rows = self.spark.read.schema(schema).parquet(self.path(table))
+        return rows.filter(reduce(Column.__or__, one)).select(*names, *LOAD_COLUMNS)
+
+    def fold(self, table: str, before: str) -> list[str]:
+        """Rewrite each day before a date, which has several loads, as a few files; the days folded.
+
+        The day is written beside the table, renamed into place, and then its folders go. At any
+        moment in between the rows read are the same: a load that still has its folder is read from
+        there. So is a load that is written again, or late, after its day was folded. A day is
+        folded once.
+        """
+        days: dict[str, list[Load]] = {}
+        for load in self.open_loads(table):
+            days.setdefault(load.date, []).append(load)
+        done, added, folded = self.folded_days(table), self.added_columns(table), []
+        for date, loads in days.items():
+            if date >= before or date in done or len(loads) < 2:
+                continue
+            beside = f"{self._days(table)}/_writing-{uuid.uuid4().hex}"
+            files = 1 + folders.size(self.spark, f"{self.path(table)}/load_date={date}") // FOLDED_BYTES
+            rows = self.read_loads(table, loads).drop("load_date")
+            rows.repartition(int(files)).write.parquet(beside)
+            folders.rename(self.spark, beside, f"{self._days(table)}/load_date={date}")
+            for load in loads:
+                folders.remove(self.spark, self._folder(table, load))
+            folded.append(date)
+        return folded
+
+    def _days(self, table: str) -> str:
+        return f"{self.path(table)}_days"
+
+    def _folder(self, table: str, load: Load) -> str:
+        parts = [f"{n}={folders.escaped(self.spark, v)}" for n, v in zip(LOAD_COLUMNS, load)]
+        return "/".join([self.path(table), *parts])
 
     def added_columns(self, table: str) -> list[str]:
         """String columns that healing has added to a raw table."""
@@ -153,7 +235,7 @@ class Warehouse:
             source, build = MODELS[table]
             return build(self.read(source)).limit(0)
         if table not in CONTRACTS:
-            return self.spark.read.parquet(self.path(table))
+            return self.spark.read.parquet(f"{self.path(table)}/version={self._versions(table)[-1]}")
         added = self.added_columns(table)
         schema = contract_of(table, added)
         rows = self.loads(table, added)
@@ -176,7 +258,7 @@ class Warehouse:
 
         Writing the same load again replaces it, so a repeated batch leaves no second copy.
         Errors reach the caller. `added` names healed columns that the load carries. Files are as
-        the rows come; sizing them is left to a later compaction.
+        the rows come; `fold` makes few of them when the day is over.
         """
         day = F.col(stamp) if isinstance(stamp, str) else stamp
         (
@@ -191,19 +273,25 @@ class Warehouse:
         )
 
     def replace(self, df: DataFrame, table: str) -> None:
-        """Full refresh of a table that `df` does not read."""
-        df.write.mode("overwrite").parquet(self.path(table))
+        """Full refresh: readers have the old version until the new one is complete, and it may be
+        read by `df` itself. A refresh that fails leaves the old one. The version before the last
+        is removed, which a reader may have begun with."""
+        versions = self._versions(table)
+        beside = f"{self.path(table)}/_writing-{uuid.uuid4().hex}"
+        df.write.parquet(beside)
+        folders.rename(self.spark, beside, f"{self.path(table)}/version={1 + max(versions, default=0)}")
+        for old in versions[:-1]:
+            folders.remove(self.spark, f"{self.path(table)}/version={old}")
+
+    def _versions(self, table: str) -> list[int]:
+        return sorted(int(v) for (v,) in folders.partitions(self.spark, self.path(table), ("version",)))
 
     def drop_days(self, table: str, before: str) -> None:
         """Remove the folders of all days before a date: what retention no longer keeps."""
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(table))
-        system = path.getFileSystem(self.spark._jsc.hadoopConfiguration())
-        if not system.exists(path):
-            return
-        for status in system.listStatus(path):
-            name = status.getPath().getName()
-            if name.startswith("load_date=") and name.removeprefix("load_date=") < before:
-                system.delete(status.getPath(), True)
+        for root in (self.path(table), self._days(table)):
+            for (date,) in folders.partitions(self.spark, root, ("load_date",)):
+                if date < before:
+                    folders.remove(self.spark, f"{root}/load_date={date}")
 
     def register(self, *tables: str) -> None:
         """Make tables available to `query` under their names."""
