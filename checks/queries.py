@@ -664,12 +664,23 @@ def _model(spark, sf) -> tuple[DataFrame, forest.Model]:
 
 @query
 def iforest_model(spark, sf):
-    return _model(spark, sf)[1].nodes_df(spark)
+    nodes = _model(spark, sf)[1].nodes_df(spark)
+    return nodes.withColumn("threshold", F.nullif("threshold", F.lit(float("nan"))))
 
 
 @query
 def model_metadata(spark, sf):
-    return _model(spark, sf)[1].meta_df(spark)
+    """The model's metadata, the statistics of each feature as columns."""
+    meta = _model(spark, sf)[1].meta_df(spark)
+
+    def stats(name: str, column: str) -> list:
+        return [fx.round_to(F.col(column)[i], 4).alias(f"{name}_{c}") for i, c in enumerate(forest.fv.FEATURES)]
+
+    return meta.select(
+        "trained_at", "rows", "flagged", "contamination", F.array_join("feature_cols", ",").alias("features"),
+        *[fx.round_to(c, 6).alias(c) for c in ("cutoff", "score_mean", "score_std", "threshold")],
+        *stats("mean", "means"), *stats("std", "stds"),
+    )
 
 
 @query
