@@ -359,10 +359,16 @@ def _json_profiles(spark, sf) -> DataFrame:
 def schema_fingerprint(spark, sf):
     return _json_profiles(spark, sf).select(
         "batch_id", "record_count", "column_count", "schema_hash", "null_rate_avg",
-        F.array_join("observed_columns", ",").alias("columns"),
     )
 
 
+@query
+def observed_keys(spark, sf):
+    """What the fingerprints stand for: the keys of each batch."""
+    raw = fixture.click_json(spark, sf)
+    return profile.observed_keys(raw, profile.shape_of("value"), ("ingested_at", "source_topic"))
+
+
 @query
 def schema_baseline(spark, sf):
     return profile.baselines(_json_profiles(spark, sf))

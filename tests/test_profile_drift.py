@@ -45,12 +45,32 @@ def test_fingerprint_follows_observed_keys(spark):
     ).withColumn("ingested_at", F.lit(T0).cast("timestamp_ntz"))
     found = profile.profile_batches(raw, "t", ["value"], shape=profile.shape_of("value"), also=["m"])
     got = {r.batch_id: r for r in found.collect()}
-    assert got[1].observed_columns == ["a", "b", "m"] and got[2].observed_columns == ["a", "b", "m", "new"]
+    keys = {}
+    for r in profile.observed_keys(raw, profile.shape_of("value"), ["m"]).collect():
+        keys.setdefault(r.batch_id, set()).add(r.key)
+    assert keys == {1: {"a", "b", "m"}, 2: {"a", "b", "m", "new"}, 3: {"a", "b", "m"}}
+    assert {b: r.column_count for b, r in got.items()} == {1: 3, 2: 4, 3: 3}
     assert got[1].schema_hash == got[3].schema_hash != got[2].schema_hash
     (base,) = profile.baselines(found).collect()
     assert (base.baseline_batch_id, base.baseline_hash) == (1, got[1].schema_hash)
 
 
+def test_fingerprints_of_given_and_observed_names_agree(spark):
+    given = profile.profile_batches(batches(spark), "t", ["a", "b"]).first()
+    seen = profile.profile_batches(batches(spark), "t", ["a", "b"], shape=F.lit('["b","a"]')).first()
+    assert given.schema_hash == seen.schema_hash and given.column_count == seen.column_count == 2
+
+
+def test_ids_sent_as_keys_are_profiled_without_gathering_them(spark):
+    value = F.concat(F.lit('{"a":1,"k'), F.col("id").cast("string"), F.lit('":2}')).alias("value")
+    raw = spark.range(30_000).select((F.col("id") % 2).alias("batch_id"), value, F.lit(T0).cast("timestamp_ntz").alias("ingested_at"))
+    found = profile.profile_batches(raw, "t", ["value"], shape=profile.shape_of("value"), also=["m"])
+    got = {r.batch_id: r for r in found.collect()}
+    assert [(r.record_count, r.column_count) for r in got.values()] == [(15_000, 15_002)] * 2
+    assert got[0].schema_hash != got[1].schema_hash
+    assert "collect" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_unknown_topic_has_no_expected_hash(spark):
     found = profile.profile_batches(batches(spark), "t", ["a", "b"])
     known = spark.createDataFrame([("other", "h")], "topic string, baseline_hash string")

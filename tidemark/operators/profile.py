@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
@@ -12,9 +13,18 @@ from tidemark import fixed_values as fv
 from tidemark.functions.scalars import round_to, stable_id
 
 
-def fingerprint(keys: Column) -> Column:
-    """Hash of a set of column names, independent of their order."""
-    return F.sha2(F.array_join(F.array_sort(keys), ","), 256)
+def key_hash(key: Column) -> Column:
+    """A name as a whole number below 2^60."""
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+
+
+def fingerprint(names: Column, hashes: Column) -> Column:
+    """Digest of a set of names by how many they are and the sum of their hashes.
+
+    Sums need no order and no place where all names meet, so a set may be of any size.
+    """
+    total = F.coalesce(hashes, F.lit(0)).cast("decimal(38,0)").cast("string")
+    return F.sha2(F.concat_ws(":", names.cast("string"), total).cast("binary"), 256)
 
 
 def shape_of(value: Column | str) -> Column:
@@ -49,9 +59,9 @@ def profile_batches(
 
     `columns` are the columns whose null rates count. `shape` holds the row's observed keys
     (see `shape_of`), to which the names in `also` are added; without it, `columns` are the
-    observed names of every row. Rows are first reduced per (batch, shape) and only then per
-    batch, so a hot batch does not travel row by row, and what a batch gathers is as wide as
-    its schema.
+    observed names of every row. Rows are first reduced per (batch, shape), then per (batch, key)
+    and then per batch, so a hot batch does not travel row by row, and no set of keys is gathered,
+    however many a batch has.
     """
     batch = F.col(batch) if isinstance(batch, str) else batch
     nulls = [F.count_if(F.col(c).isNull()).alias(f"_n{i}") for i, c in enumerate(columns)]
@@ -59,23 +69,26 @@ def profile_batches(
     count = F.count(F.lit(1)).alias("record_count")
     first = F.min(ingested_at).alias("_first")
     if shape is None:
-        names = F.lit(sorted(columns)).cast("array<string>")
-        totals = base.groupBy("_batch").agg(count, first, *nulls).withColumn("_keys", names)
+        names = sorted(set(columns))
+        hashes = sum(int(hashlib.md5(n.encode()).hexdigest()[:15], 16) for n in names)
+        totals = base.groupBy("_batch").agg(count, first, *nulls).select(
+            "*", F.lit(len(names)).alias("_names"), F.lit(str(hashes)).cast("decimal(38,0)").alias("_hashes")
+        )
     else:
         per_shape = base.groupBy("_batch", shape.alias("_shape")).agg(count, first, *nulls)
         # One row per (shape, key); a shape's counts are taken from its first key only.
         spread = F.posexplode_outer(_keys_of(F.col("_shape"), also)).alias("_pos", "_key")
-        per_key = per_shape.select("*", spread)
         once = F.coalesce("_pos", F.lit(0)) == 0
-
-        def total(name: str) -> Column:
-            return F.sum(F.when(once, F.col(name))).alias(name)
-
+        counted = ["record_count", *[f"_n{i}" for i in range(len(columns))]]
+        per_key = per_shape.select("*", spread).groupBy("_batch", "_key").agg(
+            F.min("_first").alias("_first"),
+            *[F.coalesce(F.sum(F.when(once, F.col(c))), F.lit(0)).alias(c) for c in counted],
+        )
         totals = per_key.groupBy("_batch").agg(
-            total("record_count"),
             F.min("_first").alias("_first"),
-            *[total(f"_n{i}") for i in range(len(columns))],
-            F.array_sort(F.collect_set("_key")).alias("_keys"),
+            *[F.sum(c).alias(c) for c in counted],
+            F.count("_key").alias("_names"),
+            F.sum(key_hash(F.col("_key")).cast("decimal(20,0)")).alias("_hashes"),
         )
 
     rates = [f"_r{i}" for i in range(len(columns))]
@@ -96,15 +109,23 @@ def profile_batches(
         "record_count",
         round_to(mean_rate, 6).alias("null_rate_avg"),
         round_to(max_rate, 6).alias("null_rate_max"),
-        fingerprint(F.col("_keys")).alias("schema_hash"),
-        F.size("_keys").cast("int").alias("column_count"),
+        fingerprint(F.col("_names"), F.col("_hashes")).alias("schema_hash"),
+        F.col("_names").cast("int").alias("column_count"),
         F.map_from_arrays(names, F.array(*rates)).alias("null_rates"),
         F.col("_first").cast("string").alias("profile_ts"),
         F.col("_first").alias("created_at"),
-        F.col("_keys").alias("observed_columns"),
     )
 
 
+def observed_keys(
+    df: DataFrame, shape: Column, also: Sequence[str] = (), batch: Column | str = "batch_id"
+) -> DataFrame:
+    """The different keys of each batch, one row per (batch_id, key)."""
+    batch = F.col(batch) if isinstance(batch, str) else batch
+    shapes = df.select(batch.cast("bigint").alias("batch_id"), shape.alias("_shape")).distinct()
+    return shapes.select("batch_id", F.explode(_keys_of(F.col("_shape"), also)).alias("key")).distinct()
+
+
 def baselines(profiles: DataFrame) -> DataFrame:
     """The fingerprint of each topic's first batch."""
     return profiles.groupBy("topic").agg(

@@ -19,7 +19,10 @@ def kth_smallest(df: DataFrame, column: str, k: int, buckets: int = 4096) -> int
         raise ValueError(f"{count} values have no {k}-th smallest")
     while low < high:
         width = -(-(high - low + 1) // buckets)
-        bucket = ((c.cast("decimal(20,0)") - F.lit(low)) / F.lit(width)).cast("int")
+        # through the remainder: a quotient with digits behind the point could round up
+        above = c.cast("decimal(20,0)") - F.lit(str(low)).cast("decimal(20,0)")
+        each = F.lit(str(width)).cast("decimal(20,0)")
+        bucket = ((above - F.pmod(above, each)) / each).cast("int")
         found = df.filter(c.between(low, high)).groupBy(bucket.alias("bucket")).count().collect()
         for number, inside in sorted(map(tuple, found)):
             if inside >= k:
