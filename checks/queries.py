@@ -17,6 +17,7 @@ from tidemark.sources import events
 from tidemark.sources import fixtures as fixture
 from tidemark.sources.tables import Warehouse
 from tidemark.streaming import ingest
+from tidemark.streaming.latest import latest_in_stream
 from tidemark.topics import CLICKS, INVENTORY, ORDERS, TOPICS, Topic
 
 AS_OF = "2024-02-01 00:00:00"
@@ -711,6 +712,23 @@ def stream_orders_validated(spark, sf):
     )
 
 
+@query
+def stream_latest_orders(spark, sf):
+    """Keep-latest by keyed state: orders arrive in three batches, out of their order, with a restart
+    after each; what came out for a key last is its latest row."""
+    folder = new_folder(spark, "stream-latest")
+    raw = fixture.orders_raw(spark, sf).filter("order_id IS NOT NULL")
+    for part in (2, 0, 1):
+        raw.filter(F.pmod(F.col("ingest_seq"), F.lit(3)) == part).write.mode("append").parquet(f"{folder}/in")
+        latest = latest_in_stream(
+            spark.readStream.schema(raw.schema).parquet(f"{folder}/in"), ["order_id"], "ingested_at", "10000 days", "ingest_seq"
+        )
+        won = latest.writeStream.outputMode("update").option("checkpointLocation", f"{folder}/progress").trigger(availableNow=True)
+        won.foreachBatch(lambda df, i, part=part: df.withColumn("load", F.lit(f"{part} {i}")).write.mode("append").parquet(f"{folder}/won")).start().awaitTermination()
+    every = spark.read.parquet(f"{folder}/won").drop("load")
+    return latest_per_key(every, ["order_id"], "ingested_at", ["ingest_seq"])
+
+
 @query
 def latest_orders(spark, sf):
     """Keep-latest alone, over all columns of the raw stream."""
