@@ -35,6 +35,8 @@ SHORT = 32
 MOST_LANGUAGES = 2000
 UNKNOWN = "und"
 _SLICE = 1_000_000
+#: texts whose dense counts are held at a time, however short they are
+_AT_ONCE = 512
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(64 - 12)
 
@@ -43,9 +45,9 @@ def term_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-gram counts, a row per text, and each text's letters and blanks (0: no letter)."""
     n = len(texts)
     lower = [t.lower() for t in texts]
-    points = pretokens.code_points(" ".join(["", *lower, ""]))
-    doc = np.repeat(np.arange(n + 1), [1, *(len(t) + 1 for t in lower)]) - 1
-    doc[0] = 0
+    # a blank before and behind each text, so that its counts are the same wherever it stands
+    points = pretokens.code_points("".join(f" {t} " for t in lower))
+    doc = np.repeat(np.arange(n), [len(t) + 2 for t in lower])
     letter = pretokens.classes()[points] == pretokens.LETTER
     points = np.where(letter, points, 32)
     keep = np.append(True, letter[1:] | letter[:-1] | (doc[1:] != doc[:-1]))
@@ -119,6 +121,9 @@ class Model:
         """Language, cosine and whether it is rejected."""
         if not texts:
             return [], np.zeros(0), np.zeros(0, bool)
+        if len(texts) > _AT_ONCE:
+            parts = [self.predict(texts[i : i + _AT_ONCE]) for i in range(0, len(texts), _AT_ONCE)]
+            return [x for p in parts for x in p[0]], np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts])
         counts, length = term_counts(texts)
         if not self.languages:
             return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.ones(len(texts), bool)
@@ -136,7 +141,8 @@ def _sample(df: DataFrame, text: str, lang: str, most: int) -> DataFrame:
     from pyspark.sql import Window
 
     rows = df.select(F.col(text).alias("text"), F.col(lang).alias("lang")).filter("text IS NOT NULL AND lang IS NOT NULL")
-    share = df.filter(F.col(lang).isNotNull()).groupBy(F.col(lang).alias("lang")).agg((F.lit(float(2 * most)) / F.count("*")).alias("share"))
+    # over different texts: a language may have few of them, each in very many rows
+    share = rows.groupBy("lang").agg((F.lit(float(2 * most)) / F.approx_count_distinct(F.xxhash64("text"))).alias("share"))
     shares = {r["lang"]: r["share"] for r in share.limit(MOST_LANGUAGES + 1).collect()}
     if len(shares) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
@@ -152,9 +158,12 @@ def _sample(df: DataFrame, text: str, lang: str, most: int) -> DataFrame:
 
 
 def fit(df: DataFrame, text: str = "text", lang: str = "lang", sample: int = SAMPLE, centroids: int = CENTROIDS) -> Model:
-    """Learns from at most `sample` texts of each language that has a name.
+    """Learns from at most `sample` different texts of each language that has a name.
 
-    Texts without a letter teach nothing. Without any labelled text every prediction is `und`.
+    How often a text or its rows are repeated makes no difference. Texts without a letter, null
+    texts and null labels teach nothing. Without any labelled text every prediction is `und`. More
+    than MOST_LANGUAGES languages are refused with a ValueError, since their centroids go to every
+    task.
     """
     chosen = stored(_sample(df, text, lang, sample), "language-sample")
 
