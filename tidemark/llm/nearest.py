@@ -23,6 +23,8 @@ from tidemark.llm.common import stored
 #: vectors that centroids, number of probed lists and first thresholds are learned from, at most
 SAMPLE = 10_000
 LISTS = 128
+#: up to so many vectors of the sample there is one list, and every vector is scanned
+ONE_LIST = 2000
 LEAST_PER_LIST = 64
 PACK = 2048
 QUERIES = 512
@@ -97,10 +99,11 @@ def _kmeans(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
     return centres
 
 
-def fit(df: DataFrame, vec_id: str, embedding: str, k: int, lists: int = LISTS, sample: int = SAMPLE, recall: float = RECALL) -> Index | None:
+def fit(df: DataFrame, vec_id: str, embedding: str, k: int, lists: int = LISTS, sample: int = SAMPLE, recall: float = RECALL, one_list: int = ONE_LIST) -> Index | None:
     """Centroids, rotation and the number of lists to probe, from at most `sample` vectors.
 
-    Only the length of the longest vector is taken over all of them. None without any vector.
+    Only the length of the longest vector is taken over all of them. A sample of at most `one_list`
+    vectors gives one list. None without any vector.
     """
     v = F.col(embedding)
     sizes = df.groupBy(F.size(v).alias("dims")).count().orderBy(F.desc("count"), "dims").first()
@@ -110,15 +113,15 @@ def fit(df: DataFrame, vec_id: str, embedding: str, k: int, lists: int = LISTS,
     same = df.filter(F.size(v) == dims)
     square = F.aggregate(v, F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
     longest = float(np.sqrt(same.agg(F.max(square)).first()[0])) * (1 + 1e-12)
-    h = F.xxhash64(F.col(vec_id))
+    h = F.xxhash64(F.col(vec_id), v, F.monotonically_increasing_id())  # of the row: ids and vectors may repeat
     near = same.filter((h / F.lit(float(1 << 63)) + 1) / 2 < 2.0 * sample / n) if n > sample else same
-    rows = near.select(F.col(vec_id).alias("id"), v.cast("array<double>").alias("v")).orderBy(h, "id").limit(sample).collect()
+    rows = near.select(h.alias("h"), F.col(vec_id).alias("id"), v.cast("array<double>").alias("v")).orderBy("h", "id").limit(sample).collect()
     ids = np.array([-1 if r["id"] is None else r["id"] for r in rows], np.int64)
     x = np.array([r["v"] for r in rows])
     rng = np.random.default_rng(_SEED)
     turn, _ = np.linalg.qr(rng.standard_normal((dims + 1, dims + 1)))
     index = Index(dims, longest, turn, np.zeros((1, dims + 1)), 1, ids, x, np.zeros(len(x), np.int64))
-    k_lists = max(1, min(lists, len(x) // LEAST_PER_LIST if len(x) > 2000 else 1))
+    k_lists = max(1, min(lists, len(x) // LEAST_PER_LIST if len(x) > one_list else 1))
     rotated = index.turned(x)
     index.centres = _kmeans(rotated, k_lists, rng)
     index.lists = index.order(rotated, 1)[:, 0]
@@ -176,17 +179,18 @@ def _allowed(limit, seen: int, dims: int):
     return limit if seen >= dims else limit * (seen / dims) * (1 + DEVIATIONS / np.sqrt(seen)) ** 2
 
 
-def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", lists: int = LISTS, sample: int = SAMPLE, recall: float = RECALL) -> DataFrame:
+def search(df: DataFrame, is_query: Column, k: int = 20, vec_id: str = "vec_id", embedding: str = "embedding", lists: int = LISTS, sample: int = SAMPLE, recall: float = RECALL, one_list: int = ONE_LIST) -> DataFrame:
     """The k nearest rows of each query row, as query_id, rank, vec_id, score.
 
     Nearness is the inner product in double precision, largest first, ties to the smaller vec_id. A
     query's own id is no candidate. Rows without an id, or with a vector that is null, zero, of
     another length than most, or holding null or non-finite components, take no part. Repeated
-    rows count each. With few vectors there is one list, so the result is exact but for the test.
+    rows count each. With `lists` of 1, or at most `one_list` vectors in all, every vector is scanned,
+    and the result is exact but for the test of partial distances.
     """
     v = F.col(embedding)
     taken = df.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v"), is_query.alias("q")).filter(usable(F.col("v")) & F.col("vec_id").isNotNull())
-    index = fit(taken, "vec_id", "v", k, lists, sample, recall)
+    index = fit(taken, "vec_id", "v", k, lists, sample, recall, one_list)
     if index is None:
         return df.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     shared = df.sparkSession.sparkContext.broadcast(index)
