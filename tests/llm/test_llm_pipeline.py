@@ -191,5 +191,5 @@ def test_every_stage_keeps_the_columns_and_takes_odd_rows(spark, tables):
 
 def test_queries_are_registered():
     names = [n for n in QUERIES if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and "pipeline" in QUERIES
     assert json.dumps(names) and public_tokenizers.path("byte_bpe_50k.json")

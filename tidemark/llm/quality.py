@@ -15,10 +15,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.common import mapped, texts_of
+from tidemark.llm.common import mapped, texts_of, without
 
 _SLICE = 2_000_000
 SHRINK_POOLED, SHRINK_DIAGONAL = 0.1, 0.1
@@ -134,12 +136,13 @@ def _sums(df: DataFrame, label: str) -> dict[int, np.ndarray]:
 
 
 def fit(df: DataFrame, label: str = "quality", pooled: float = SHRINK_POOLED, diagonal: float = SHRINK_DIAGONAL) -> Model:
-    """Learns from all rows with `features` and a label of 0 or 1; other labels teach nothing.
+    """Learns from all rows with `features` and a label of 0 or 1; other or null labels, and null
+    features, teach nothing. Repeated rows count each.
 
     If one of the classes has no row, every score is the share of label 1, or 0.5 without any row.
     df must be stored, since it is read twice.
     """
-    rows = df.filter(F.col(label).isin(0, 1))
+    rows = df.filter(F.col(label).isin(0, 1) & F.col("features").isNotNull())
     sums = _sums(rows, label)
     n = np.array([sums[c][0] for c in (0, 1)])
     if not n.all():
@@ -188,13 +191,19 @@ def _sigmoid(rows: DataFrame, label: str, model: Model) -> tuple[float, float]:
 
 
 def score(df: DataFrame, model: Model, out: str = "score") -> DataFrame:
-    """Adds the probability, 0 to 1, that a row's `features` are of label 1."""
+    """All rows and columns, with the probability, 0 to 1, that a row's `features` are of label 1.
+
+    Rows may repeat; null features have a null score. A column named `out` is replaced.
+    """
+    kept = without(df, [out])
 
     def run(batches):
         for batch in batches:
-            x = _matrix(batch, "features")
-            yield batch.append_column(out, pa.array(model.scores(x))) if batch.num_rows else batch.append_column(out, pa.array([], pa.float64()))
-
-    from pyspark.sql import types as T
-
-    return df.mapInArrow(run, T.StructType([*df.schema, T.StructField(out, T.DoubleType())]))
+            known = pc.is_valid(batch["features"])
+            scores = np.full(batch.num_rows, np.nan)
+            if batch.num_rows:
+                held = batch.filter(known)
+                scores[known.to_numpy(zero_copy_only=False)] = model.scores(_matrix(held, "features")) if held.num_rows else []
+            yield batch.append_column(out, pa.array(scores, mask=np.isnan(scores)))
+
+    return kept.mapInArrow(run, T.StructType([*kept.schema, T.StructField(out, T.DoubleType())]))
