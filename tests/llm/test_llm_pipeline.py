@@ -134,6 +134,24 @@ def test_against_containment(spark):
     assert {d: sorted(x[0] for x in v) for d, v in got.items()} == want
 
 
+def test_windows_that_many_items_share_lose_no_leak(monkeypatch):
+    opening = "answer the following question about the text and give reasons"
+    make = np.random.default_rng(4)
+    items = [(i, f"{opening} {prose(int(make.integers(0, 30)), i)}" + (f" {opening}" if i % 9 == 0 else "")) for i in range(120)]
+    texts = [f"{prose(40, 1000 + i)} {items[i % 120][1] if i % 3 else opening} {prose(10, 2000 + i)}" for i in range(90)]
+    texts += [opening, f"{opening} {opening}", " ".join(items[5][1].split()[4:]), ""]
+
+    def found():
+        held = decontaminate.Items.of(items, decontaminate.WINDOW)
+        return held, sorted(decontaminate.leaks(held, texts, decontaminate.Words(), decontaminate.SHARE, decontaminate.TOKENS))
+
+    held, fast = found()
+    assert len(held.later) > 60
+    monkeypatch.setattr(decontaminate, "COMMON", 1 << 40)
+    held, slow = found()
+    assert not held.later and fast == slow and len(fast) > 60
+
+
 def test_benchmark_in_blocks_and_empty(spark):
     items = [prose(30, 400 + i) for i in range(12)]
     docs = spark.createDataFrame([(i, f"{prose(20, i)} {t}", 1) for i, t in enumerate(items)], "doc_id long, text string, LEAKS int")

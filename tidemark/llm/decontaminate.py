@@ -31,6 +31,8 @@ WINDOW = 8
 SHARE, TOKENS = 0.5, 20
 #: of a region's slots, so many may disagree
 CONFLICTS = 0.1
+#: a window of more items than this is common: it is counted for an item that a rarer one has hit
+COMMON = 16
 #: characters of benchmark text that are looked up, and sent to every task, at a time
 BLOCK_CHARS = 8_000_000
 PLAIN, NUMBER, NAME, UNIT = range(4)
@@ -113,16 +115,23 @@ def windows(template: np.ndarray, size: int) -> np.ndarray:
 
 @dataclass
 class Items:
-    """Part of a benchmark, as windows that are looked up."""
+    """Part of a benchmark, as windows that are looked up.
+
+    A window that many items share, as an opening that they all have, is no reason to compare a text
+    with each of them. Where an item's common windows don't cover enough of it for a leak, one of its
+    others must be in the text as well, so the common ones wait in `later` until one is. An item that
+    common windows do cover enough of has all of them looked up. Either way no leak is lost.
+    """
 
     ids: list[int]
     sizes: np.ndarray
     values: list[np.ndarray]
     kinds: list[np.ndarray]
     tables: dict[tuple[int, bool], tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]  # by window size and whether values are hashed
+    later: dict[int, list[tuple[tuple[int, bool], np.ndarray, np.ndarray]]]  # by item: kind of window, hashes in order, places
 
     @classmethod
-    def of(cls, rows: list[tuple[int, str]], window: int) -> Items:
+    def of(cls, rows: list[tuple[int, str]], window: int, share: float = SHARE, tokens: int = TOKENS) -> Items:
         value, template, kind, doc = _read_all([t for _, t in rows])
         ends = np.searchsorted(doc, np.arange(len(rows) + 1))
         spans = list(zip(ends, ends[1:]))
@@ -136,15 +145,31 @@ class Items:
             for exact, row, at in ((False, template, np.flatnonzero(~slots)), (True, value, np.flatnonzero(slots))):
                 if len(at):
                     found.setdefault((int(size), exact), []).append((windows(row[a:b], size)[at], np.full(len(at), i), at))
-        tables = {}
+        sizes = np.diff(ends)
+        sorted_, covered = {}, [np.zeros(n, bool) for n in sizes]
         for key, parts in found.items():
             h, item, place = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(h, kind="stable")
-            h = h[order]
+            h, item, place = h[order], item[order], place[order]
+            new = np.append(True, (h[1:] != h[:-1]) | (item[1:] != item[:-1]))  # an item's first window of a hash
+            run = np.cumsum(np.append(True, h[1:] != h[:-1])) - 1
+            common = np.bincount(run, new)[run] > COMMON
+            for i, q in zip(item[common].tolist(), place[common].tolist()):
+                covered[i][q : q + key[0]] = True
+            sorted_[key] = h, item, place, common
+        enough = np.array([c.sum() >= min(share * n, tokens) for c, n in zip(covered, sizes)], bool)
+        tables, later = {}, {}
+        for key, (h, item, place, common) in sorted_.items():
+            wait = common & ~enough[item]
+            order = np.flatnonzero(wait)[np.argsort(item[wait], kind="stable")]
+            edges = np.flatnonzero(np.append(True, item[order][1:] != item[order][:-1])) if len(order) else []
+            for own in np.split(order, edges[1:]) if len(order) else []:
+                later.setdefault(int(item[own[0]]), []).append((key, h[own], place[own]))
+            h, item, place = h[~wait], item[~wait], place[~wait]
             seen = np.zeros(1 << 22, bool)
             seen[(h >> np.uint64(42)).astype(np.int64)] = True
-            tables[key] = (h, item[order], place[order], seen)
-        return cls([i for i, _ in rows], np.diff(ends), [value[a:b] for a, b in spans], [kind[a:b] for a, b in spans], tables)
+            tables[key] = (h, item, place, seen)
+        return cls([i for i, _ in rows], sizes, [value[a:b] for a, b in spans], [kind[a:b] for a, b in spans], tables, later)
 
 
 def _read_all(texts: list[str]):
@@ -174,9 +199,10 @@ def leaks(items: Items, texts: list[str], words: Words, share: float, tokens: in
     """(text number, item number, covered tokens, first and last token in the text, same slots)."""
     value, template, kind, doc = words.read(texts)
     hits: dict[tuple[int, int], dict[int, list[tuple[int, int]]]] = {}
-    begin = np.searchsorted(doc, np.arange(len(texts)))
+    begin = np.searchsorted(doc, np.arange(len(texts) + 1))
+    hashed = {}
     for (size, exact), (table, item, place, seen) in items.tables.items():
-        h = windows(value if exact else template, size)
+        h = hashed[size, exact] = windows(value if exact else template, size)
         at = np.flatnonzero(seen[(h >> np.uint64(42)).astype(np.int64)])
         at = at[doc[at] == doc[at + size - 1]]
         low, high = np.searchsorted(table, h[at], "left"), np.searchsorted(table, h[at], "right")
@@ -185,6 +211,12 @@ def leaks(items: Items, texts: list[str], words: Words, share: float, tokens: in
                 by_diagonal = hits.setdefault((int(doc[p]), int(item[k])), {})
                 by_diagonal.setdefault(p - int(place[k]), []).append((int(place[k]), size))
     for (d, i), diagonals in hits.items():
+        for (size, exact), table, place in items.later.get(i, ()):
+            own = hashed[size, exact][begin[d] : max(begin[d], begin[d + 1] - size + 1)]
+            at = np.flatnonzero(np.isin(own, table))
+            for p, a, b in zip((at + begin[d]).tolist(), np.searchsorted(table, own[at], "left").tolist(), np.searchsorted(table, own[at], "right").tolist()):
+                for k in range(a, b):
+                    diagonals.setdefault(p - int(place[k]), []).append((int(place[k]), size))
         covered = np.zeros(items.sizes[i], bool)
         first, last, same = 1 << 60, -1, True
         for shift, places in diagonals.items():
@@ -231,7 +263,7 @@ def mark(df: DataFrame, benchmark: DataFrame, text: str = "text", item_id: str =
     out = kept.withColumn("leaks", F.array().cast(T.ArrayType(LEAK)))
     for b in range(blocks):
         part = rows.filter(F.pmod(F.xxhash64("id", "t"), F.lit(blocks)) == b).collect()
-        index = spark.sparkContext.broadcast(Items.of(sorted((-1 if r["id"] is None else r["id"], r["t"]) for r in part), window))
+        index = spark.sparkContext.broadcast(Items.of(sorted((-1 if r["id"] is None else r["id"], r["t"]) for r in part), window, share, tokens))
         out = _with_leaks(out, kept.columns, text, index, share, tokens)
     return out
 
