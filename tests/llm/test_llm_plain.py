@@ -1,6 +1,7 @@
 """Operators beyond SQL against plain versions, and rows that once broke them."""
 
 import random
+import re
 import unicodedata
 
 import numpy as np
@@ -66,7 +67,7 @@ SPANISH = ["el perro come la comida de la casa y bebe agua", "los ninos juegan e
 def plain_counts(text):
     """n-gram to count, spelled out."""
     letters = "".join(c if unicodedata.category(c).startswith("L") else " " for c in text.lower())
-    run = " " + " ".join(letters.split()) + " "
+    run = re.sub(" +", " ", letters + " ")
     out = {}
     for n in (1, 2, 3):
         for i in range(len(run) - n + 1):

@@ -45,9 +45,9 @@ def term_counts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed n-gram counts, a row per text, and each text's letters and blanks (0: no letter)."""
     n = len(texts)
     lower = [t.lower() for t in texts]
-    # a blank before and behind each text, so that its counts are the same wherever it stands
-    points = pretokens.code_points("".join(f" {t} " for t in lower))
-    doc = np.repeat(np.arange(n), [len(t) + 2 for t in lower])
+    # a blank behind each text and none before, so that its counts are the same wherever it stands
+    points = pretokens.code_points("".join(f"{t} " for t in lower))
+    doc = np.repeat(np.arange(n), [len(t) + 1 for t in lower])
     letter = pretokens.classes()[points] == pretokens.LETTER
     points = np.where(letter, points, 32)
     keep = np.append(True, letter[1:] | letter[:-1] | (doc[1:] != doc[:-1]))
