@@ -212,6 +212,68 @@ def test_spelling_is_a_probability():
     assert 0 < np.exp2(-bits).sum() <= 1 + 1e-6
 
 
+def test_the_next_byte_has_one_probability_in_all():
+    code = context_mixing.Code.of(np.bincount(np.frombuffer(b"the house of the other horse ", np.uint8), minlength=256))
+    tables = [np.zeros(2 << b, np.int32) for b in context_mixing.TABLE_BITS]
+    known = [b"the", b"house", b"other", b"horse"]
+    context_mixing.count_contexts(code, known, np.array([300, 20, 7, 7]), tables)
+    speller = context_mixing.Speller(code, tables)
+    speller.weights = speller.weights + np.random.default_rng(1).normal(0, 0.3, speller.weights.shape).astype(np.float32)
+    for prefix in (b"", b"t", b"th", b"the", b"hors", b"x" * 40):
+        mixed = {}
+        for byte in range(256):
+            word, one, _, _, _, x, bin_ = speller._mixed([prefix + bytes([byte])], np.zeros(1))
+            skip = int(code.length[list(prefix)].sum()) if prefix else 0
+            steps = slice(skip, skip + int(code.length[byte]))
+            mixed[byte] = float(np.prod(np.where(one[steps], 1 / (1 + np.exp(-(x + speller.shift[bin_])[steps])), 1 / (1 + np.exp((x + speller.shift[bin_])[steps])))))
+        assert sum(mixed.values()) == pytest.approx(1, abs=1e-4), prefix
+
+
+def test_scores_equal_a_plain_coder_of_every_token(spark):
+    rows = list(enumerate(t for lang in WORDS for t in sentences(lang, 30, 5, size=80))) + [(500, None), (501, "new words zzz"), (502, "of " * 70)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    held = {}
+
+    def kept(*args):
+        held["shared"] = args
+        return original(*args)
+
+    original, context_mixing._answers = context_mixing._answers, kept
+    try:
+        got = {r.doc_id: r for r in context_mixing.score(df, F.col("doc_id") % 4 != 0).collect()}
+    finally:
+        context_mixing._answers = original
+    shared, k = held["shared"]
+    code, tables, weights, shift = shared.value
+    speller = context_mixing.Speller(code, tables, weights, shift)
+    lists = {d: (t or "").encode().lower().split() for d, t in rows}
+    commonest = {d: min((w for w in x if x.count(w) == max(map(x.count, x))), default=b"") for d, x in lists.items()}
+    teaching = [d for d in lists if d % 4 != 0]
+    often = Counter(commonest[d] for d in teaching)
+    classes = sorted(often, key=lambda w: (-often[w], w))[: context_mixing.CLASSES]
+    counts = [Counter() for _ in range(len(classes) + 1)]
+    assert k == len(counts)
+    for d in teaching:
+        counts[classes.index(commonest[d]) if commonest[d] in classes else -1].update([*lists[d], b"\n"])
+    tokens = [sum(c.values()) for c in counts]
+    every = sum(counts, Counter())
+    new = (sum(n == 1 for n in every.values()) + 1) / (sum(tokens) + 2)
+    start = [t / sum(tokens) * (1 - new) for t in tokens] + [new]
+    for d, words in lists.items():
+        mass, total = [context_mixing.TRUST * x for x in start], 0.0
+        for a in range(0, len(words) + 1, context_mixing.BLOCK):
+            gained = [0.0] * len(mass)
+            for w in [*words, b"\n"][a : a + context_mixing.BLOCK]:
+                shares = [c[w] / (n + 1) for c, n in zip(counts, tokens)] + [2.0 ** -float(speller.bits([w])[0])]
+                both = sum(m * s for m, s in zip(mass, shares))
+                total += math.log10(both / sum(mass))
+                gained = [g + m * s / both for g, m, s in zip(gained, mass, shares)]
+            mass = [m + g for m, g in zip(mass, gained)]
+        assert got[d].score == pytest.approx(total, rel=1e-4), d
+        size = sum(map(len, words)) + len(words) + 1
+        assert got[d].bits_per_byte == pytest.approx(-total / math.log10(2) / size, rel=1e-4)
+
+
 def test_weights_are_learned_from_all_words_before_any_is_scored(spark, monkeypatch):
     code = context_mixing.Code.of(np.bincount(np.frombuffer(" ".join(sum(WORDS.values(), [])).encode(), np.uint8), minlength=256))
     rng = np.random.default_rng(4)

@@ -132,7 +132,7 @@ def op9_context_mixing(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
     held_out = F.coalesce(common.crc_remainder("doc_id", 7) == 2, F.lit(False))
     scored = context_mixing.score(docs, ~held_out)
-    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 
 
 LEAF = ["doc_id", "source", "lang", "n_chars", "text"]
