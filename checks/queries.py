@@ -12,7 +12,7 @@ from tidemark.functions import scalars as fx
 from tidemark.operators import drift, forest, profile, quality, repair, upsert, validate
 from tidemark.operators.latest import latest_per_key
 from tidemark.plans import jobs, marts, reports, staging
-from tidemark.session import new_folder
+from tidemark.session import new_folder, written_to
 from tidemark.sources import events
 from tidemark.sources import fixtures as fixture
 from tidemark.sources.tables import Warehouse
@@ -459,8 +459,13 @@ def mart_stream_overview(spark, sf):
     )
 
 
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """A frame that several models read, stored once as the jobs store it."""
+    return written_to(df, new_folder(df.sparkSession, name))
+
+
 def _health(spark, sf) -> DataFrame:
-    stored = fixture.stream_profiles(spark, sf)
+    stored = _stored(fixture.stream_profiles(spark, sf), "profiles")
     return marts.mart_pipeline_health(
         staging.stg_stream_profiles(stored),
         staging.stg_anomaly_log(fixture.anomaly_log(stored)),
@@ -583,11 +588,13 @@ def dq_accepted_values(spark, sf):
 
 @query
 def dq_report(spark, sf):
-    """All declared checks over all models."""
-    stored = fixture.stream_profiles(spark, sf)
+    """All declared checks over all models; what the marts read is stored first."""
+    stored = _stored(fixture.stream_profiles(spark, sf), "profiles")
     stg_profiles = staging.stg_stream_profiles(stored)
     stg_anomalies = staging.stg_anomaly_log(fixture.anomaly_log(stored))
-    orders, clicks, stock = _stg_orders(spark, sf), _stg_clicks(spark, sf), _stg_inventory(spark, sf)
+    orders, clicks, stock = (
+        _stored(f(spark, sf), f.__name__.strip("_")) for f in (_stg_orders, _stg_clicks, _stg_inventory)
+    )
     models = {
         "stg_orders": orders,
         "stg_clickstream": clicks,
@@ -665,7 +672,7 @@ def standardize_features(spark, sf):
 
 
 def _model(spark, sf) -> tuple[DataFrame, forest.Model]:
-    features = _features(spark, sf)
+    features = _stored(_features(spark, sf), "features")
     return features, forest.fit(features, AS_OF)
 
 

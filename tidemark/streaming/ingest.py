@@ -87,12 +87,17 @@ def _store_profile(
     found: DataFrame, batch_id: int, topic: Topic, warehouse: Warehouse, source: str
 ) -> None:
     """Store the profile; the first profile of a topic also becomes its baseline."""
-    if warehouse.read("schema_baselines").filter(F.col("topic") == topic.name).isEmpty():
-        first = profile.baselines(found)
+
+    def baseline() -> str | None:
+        row = warehouse.read("schema_baselines").filter(F.col("topic") == topic.name).first()
+        return None if row is None else row["baseline_hash"]
+
+    expected = baseline()
+    if expected is None:
         one_place = F.lit("1970-01-01").cast("date")
-        warehouse.write_load(first, "schema_baselines", topic.name, 0, one_place)
-    known = warehouse.read("schema_baselines")
-    stored = profile.as_stored(profile.with_baseline(found, known))
+        warehouse.write_load(profile.baselines(found), "schema_baselines", topic.name, 0, one_place)
+        expected = baseline()
+    stored = profile.as_stored(found.withColumn("expected_schema_hash", F.lit(expected)))
     warehouse.write_load(stored, "stream_profiles", source, batch_id, "created_at")
 
 
