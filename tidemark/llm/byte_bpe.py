@@ -37,13 +37,8 @@ class Encoder:
     """Ids of pre-tokens, remembered up to a bound."""
 
     def __init__(self, ranks_path: str):
-        with open(ranks_path, "rb") as lines:
-            ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         # one match is merged at a time: the pattern takes all of it
-        self.merge = tiktoken.Encoding("ranks", pat_str=r"(?s:.+)", mergeable_ranks=ranks, special_tokens={})
-        self.bytes_of = [b""] * (max(ranks.values(), default=-1) + 1)
-        for raw, i in ranks.items():
-            self.bytes_of[i] = raw
+        self.merge = tiktoken.Encoding("ranks", pat_str=r"(?s:.+)", mergeable_ranks=_ranks(ranks_path), special_tokens={})
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
@@ -77,6 +72,32 @@ def encoder(ranks_path: str) -> Encoder:
     return Encoder(ranks_path)
 
 
+def _ranks(ranks_path: str) -> dict[bytes, int]:
+    with open(ranks_path, "rb") as lines:
+        return {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+
+
+@cache
+def bytes_table(ranks_path: str) -> list[bytes]:
+    """The bytes of each id. A worker that only decodes needs no more than this."""
+    ranks = _ranks(ranks_path)
+    table = [b""] * (max(ranks.values(), default=-1) + 1)
+    for raw, i in ranks.items():
+        table[i] = raw
+    return table
+
+
+def decoded(ids: pa.ListArray, ranks_path: str) -> list[bytes]:
+    """The concatenated bytes of each list of ids; null as none. An id without a token raises."""
+    table = bytes_table(ranks_path)
+    flat = ids.flatten().to_pylist()
+    raw, at = [], 0
+    for n in [x or 0 for x in ids.value_lengths().to_pylist()]:
+        raw.append(b"".join(map(table.__getitem__, flat[at : at + n])))
+        at += n
+    return raw
+
+
 def sure_ends(text: str, last: bool) -> np.ndarray:
     """Ends of pre-tokens when splitting from the start of `text`, as far as they are sure.
 
@@ -121,21 +142,29 @@ def _meeting(mine: np.ndarray, theirs: np.ndarray, base: int) -> int | None:
     return int(both[0]) if len(both) else None
 
 
-def encode(df: DataFrame, ranks_path: str, text: str = "text", out: str = "ids", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """All rows and columns, with the token ids of each whole text as `array<int>`.
+def encode(df: DataFrame, ranks_path: str, text: str = "text", out: str = "ids", chunk: int = CHUNK, overlap: int = OVERLAP, back: str | None = None) -> DataFrame:
+    """All rows and columns, with the token ids of each whole text as `array<int>`, and, if `back`
+    names a column, the bytes that decoding these ids gives, as `binary`.
 
-    A null or empty text has no ids. A column already named `out` is replaced. Repeated rows stay,
+    A null or empty text has no ids. Columns already named so are replaced. Repeated rows stay,
     each with its ids. Texts of any length are encoded whole; only the chunks of texts longer than
-    one chunk are shuffled.
+    one chunk are shuffled. df must be stored or come in the same order again: a long text's chunks
+    are told by the number of their row.
     """
     length = F.coalesce(F.length(F.col(f"`{text}`")), F.lit(0))
-    short = mapped(df.filter(length <= chunk), text, _SLICE, {out: "array<int>"}, lambda part: [encoder(ranks_path).encode(texts_of(part, "_text"))])
-    long = _encode_long(df.filter(length > chunk), ranks_path, text, out, chunk, overlap)
+    new = {out: "array<int>", **({back: "binary"} if back else {})}
+
+    def run(part):
+        ids = encoder(ranks_path).encode(texts_of(part, "_text"))
+        return [ids, decoded(ids, ranks_path)] if back else [ids]
+
+    short = mapped(df.filter(length <= chunk), text, _SLICE, new, run)
+    long = _encode_long(df.filter(length > chunk), ranks_path, text, out, chunk, overlap, back)
     return short.unionByName(long)
 
 
-def _encode_long(df: DataFrame, ranks_path: str, text: str, out: str, step: int, overlap: int) -> DataFrame:
-    kept = without(df, [out])
+def _encode_long(df: DataFrame, ranks_path: str, text: str, out: str, step: int, overlap: int, back: str | None) -> DataFrame:
+    kept = without(df, [out, back] if back else [out])
     row = F.struct(*[F.col(f"`{c}`") for c in kept.columns if c != text])
     source = df.select(F.monotonically_increasing_id().alias("_id"), row.alias("_row"), F.col(f"`{text}`").alias("_text"))
     kind = source.schema["_row"].dataType
@@ -166,30 +195,23 @@ def _encode_long(df: DataFrame, ranks_path: str, text: str, out: str, step: int,
         whole, cuts = stitched(chunks, ends, step)
         pieces = [whole[a:b] for a, b in zip([0, *cuts.tolist()], cuts.tolist())]
         ids = Encoder.listed(encoder(ranks_path).ids(pieces), np.array([len(pieces)]))
-        return pa.table([group["_row"].combine_chunks()[:1], pa.array([whole]), ids], names=["_row", "_text", "_ids"])
+        raw = [pa.array(decoded(ids, ranks_path), pa.binary())] if back else []
+        return pa.table([group["_row"].combine_chunks()[:1], pa.array([whole]), ids, *raw], names=["_row", "_text", "_ids", *["_back"][: len(raw)]])
 
     chunks = source.mapInArrow(cut, chunked).repartition("_id", "_no")
     split = chunks.mapInArrow(pretokenise, T.StructType([*chunked, T.StructField("_ends", T.BinaryType())]))
-    done = split.groupBy("_id").applyInArrow(stitch, T.StructType([chunked["_row"], chunked["_text"], T.StructField("_ids", T.ArrayType(T.IntegerType()))]))
-    return done.select(*[F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in kept.columns], F.col("_ids").alias(out))
+    more = [T.StructField("_back", T.BinaryType())] if back else []
+    done = split.groupBy("_id").applyInArrow(stitch, T.StructType([chunked["_row"], chunked["_text"], T.StructField("_ids", T.ArrayType(T.IntegerType())), *more]))
+    columns = [F.col("_text").alias(c) if c == text else F.col(f"_row.`{c}`").alias(c) for c in kept.columns]
+    return done.select(*columns, F.col("_ids").alias(out), *([F.col("_back").alias(back)] if back else []))
 
 
 def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All rows and columns, with the concatenated bytes of the ids as `binary`.
 
-    Null or empty ids give empty bytes; an id without a token raises.
+    Null or empty ids give empty bytes; an id without a token raises. A column named `out` is
+    replaced.
     """
-
-    def run(part):
-        table = encoder(ranks_path).bytes_of
-        lists = part["_ids"]
-        flat = lists.flatten().to_pylist()
-        raw, at = [], 0
-        for n in [x or 0 for x in lists.value_lengths().to_pylist()]:
-            raw.append(b"".join(map(table.__getitem__, flat[at : at + n])))
-            at += n
-        return raw
-
     kept = without(df, [out])
     source = df.select(F.col(f"`{ids}`").alias("_ids"), F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("_row"))
     schema = T.StructType([source.schema["_row"], T.StructField(out, T.BinaryType())])
@@ -198,6 +220,6 @@ def decode(df: DataFrame, ranks_path: str, ids: str = "ids", out: str = "decoded
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
                 part = batch.slice(at, 100)
-                yield pa.RecordBatch.from_arrays([part["_row"], pa.array(run(part), pa.binary())], names=["_row", out])
+                yield pa.RecordBatch.from_arrays([part["_row"], pa.array(decoded(part["_ids"], ranks_path), pa.binary())], names=["_row", out])
 
     return source.mapInArrow(batches_of, schema).select(*[F.col(f"_row.`{c}`").alias(c) for c in kept.columns], out)
