@@ -76,9 +76,8 @@ def totals(
         *[F.sum(f"_n{i}").alias(f"{n}_count") for i, n in enumerate(names)],
         *([bands.alias("_bands")] if names else []),
     )
-    summed = [_together(F.col(f"_c{i}"), _bands_of(i)).alias(n) for i, n in enumerate(names)]
     counts = [f"{n}_count" for n in names]
-    return merged.select(*keys, *([] if distinct is None else [distinct[0]]), *plain, *summed, *counts)
+    return _together(merged, names).select(*keys, *([] if distinct is None else [distinct[0]]), *plain, *names, *counts)
 
 
 def exact_sum(df: DataFrame, column: Column | str) -> float | None:
@@ -116,52 +115,72 @@ def _banded(value: Column) -> tuple[Column, Column]:
     return F.coalesce(special, band), unit
 
 
-def _together(common: Column, bands: Column) -> Column:
-    """The double nearest to a decimal and the units of all bands."""
+def _together(merged: DataFrame, names: list[str]) -> DataFrame:
+    """Adds for each sum the double nearest to its common decimal `_c` and the units of its bands.
 
-    def has(band: int) -> Column:
-        return F.exists(bands, lambda b: b["_band"] == band)
+    Step by step, each step's columns named, so that no expression stands in the plan twice.
+    """
+
+    def step(df: DataFrame, prefix: str, made) -> DataFrame:
+        return df.select("*", *[made(i).alias(f"{prefix}{i}") for i in range(len(names))])
+
+    df = step(merged, "_b", _bands_of)
+    df = step(df, "_parts", lambda i: F.when(F.size(f"_b{i}") > 0, _parts(F.col(f"_c{i}"), F.col(f"_b{i}"))))
+    df = step(df, "_low", lambda i: F.array_min(F.transform(f"_parts{i}", lambda p: p["at"])))
+    # a whole part reaches over so many places
+    df = step(df, "_high", lambda i: F.array_max(F.transform(f"_parts{i}", lambda p: p["at"])) + 9)
+    df = step(df, "_plus", lambda i: _written(i, 1))
+    df = step(df, "_minus", lambda i: F.when(F.col(f"_plus{i}.carry") < 0, _written(i, -1)))
+    return df.select("*", *[_nearest(i).alias(n) for i, n in enumerate(names)])
+
+
+def _parts(common: Column, bands: Column) -> Column:
+    """Numbers of four digits, and whole numbers, by the place of their last digits."""
 
     def limb(at: Column, value: Column) -> Column:
         return F.struct(at.cast("int").alias("at"), value.cast("decimal(30,0)").alias("value"))
 
     def limbs(at: Column, number: Column, digits: int) -> list[Column]:
-        """A decimal as numbers of four digits: its whole part as one, then what is behind the point."""
-        whole = F.floor(number)
+        """A decimal's whole part as one number, then what is behind the point."""
         rest = F.pmod(number, F.lit(1).cast("decimal(1,0)"))  # a difference would lose digits
         rest = (rest * F.lit(str(10**digits)).cast(f"decimal({digits + 1},0)")).cast(f"decimal({digits},0)")
         text = F.lpad(rest.cast("string"), digits, "0")
         behind = [limb(at - k - 1, F.substring(text, 4 * k + 1, 4)) for k in range(digits // _BAND)]
-        return [limb(at, whole), *behind]
+        return [limb(at, F.floor(number)), *behind]
 
     held = F.coalesce(common, F.lit(0)).cast(f"decimal(38,{_DIGITS})")
-    parts = F.concat(
+    return F.concat(
         F.array(*limbs(F.lit(0), held, _DIGITS)),
-        F.flatten(F.transform(bands, lambda b: F.array(*limbs(b["_band"], b["_unit"], 20)))),
+        F.flatten(F.transform(F.filter(bands, lambda b: b["_unit"].isNotNull()), lambda b: F.array(*limbs(b["_band"], b["_unit"], 20)))),
     )
-    low, high = (f(F.transform(parts, lambda p: p["at"])) for f in (F.array_min, F.array_max))
-    places = F.sequence(low, high + 9)  # a whole part reaches over so many places
-    zero = F.lit(0).cast("decimal(30,0)")
 
-    def written(sign: int) -> Column:
-        """Digits of the sum from the last place to the first, and what is carried out of it."""
 
-        def step(so_far: Column, at: Column) -> Column:
-            here = F.filter(parts, lambda p: p["at"] == at)
-            found = F.aggregate(here, zero, lambda s, p: (s + p["value"] * sign).cast("decimal(30,0)"))
-            total = (so_far["carry"] + found).cast("decimal(30,0)")
-            digits = F.pmod(total, F.lit(10_000).cast("decimal(5,0)"))
-            carry = ((total - digits) / F.lit(10_000).cast("decimal(5,0)")).cast("decimal(30,0)")
-            text = F.concat(F.lpad(digits.cast("int").cast("string"), _BAND, "0"), so_far["text"])
-            return F.struct(carry.alias("carry"), text.alias("text"))
+def _written(i: int, sign: int) -> Column:
+    """Digits of a sum from the last place to the first, and what is carried out of it."""
+    zero, base = F.lit(0).cast("decimal(30,0)"), F.lit(10_000).cast("decimal(5,0)")
 
-        return F.aggregate(places, F.struct(zero.alias("carry"), F.lit("").alias("text")), step)
+    def step(so_far: Column, at: Column) -> Column:
+        here = F.filter(f"_parts{i}", lambda p: p["at"] == at)
+        found = F.aggregate(here, zero, lambda s, p: (s + p["value"] * sign).cast("decimal(30,0)"))
+        total = (so_far["carry"] + found).cast("decimal(30,0)")
+        digits = F.pmod(total, base)
+        carry = ((total - digits) / base).cast("decimal(30,0)")
+        text = F.concat(F.lpad(digits.cast("int").cast("string"), _BAND, "0"), so_far["text"])
+        return F.struct(carry.alias("carry"), text.alias("text"))
+
+    return F.aggregate(F.sequence(f"_low{i}", f"_high{i}"), F.struct(zero.alias("carry"), F.lit("").alias("text")), step)
+
+
+def _nearest(i: int) -> Column:
+    bands = F.col(f"_b{i}")
+
+    def has(band: int) -> Column:
+        return F.exists(bands, lambda b: b["_band"] == band)
 
-    def number(digits: Column) -> Column:
-        return F.concat(digits["text"], F.lit("E"), (low * _BAND).cast("string")).cast("double")
+    def number(digits: str) -> Column:
+        return F.concat(f"{digits}{i}.text", F.lit("E"), (F.col(f"_low{i}") * _BAND).cast("string")).cast("double")
 
-    plus = written(1)
-    finite = F.when(plus["carry"] < 0, -number(written(-1))).otherwise(number(plus))
+    finite = F.when(F.col(f"_plus{i}.carry") < 0, -number("_minus")).otherwise(number("_plus"))
     nan, infinity = F.lit(float("nan")), F.lit(float("inf"))
     special = F.when(has(_NAN) | (has(_PLUS) & has(_MINUS)), nan).when(has(_PLUS), infinity).when(has(_MINUS), -infinity)
-    return F.when(F.size(bands) == 0, common.cast("double")).otherwise(F.coalesce(special, finite))
+    return F.when(F.size(bands) == 0, F.col(f"_c{i}").cast("double")).otherwise(F.coalesce(special, finite))
