@@ -246,3 +246,20 @@ def test_healing_reads_the_loads_since_the_last_heal(spark, warehouse):
     assert jobs.heal_schema(warehouse, CLICKS, 1, "2024-02-02 00:00:00") == ["gift"]
     assert sorted((r.topic, r.key) for r in warehouse.read("payload_keys").collect())[:2] == [("clickstream_topic", "action"), ("clickstream_topic", "coupon")]
     assert warehouse.read("payload_keys").count() == warehouse.read("payload_keys").distinct().count() == 7
+
+
+def test_a_fold_reads_its_day_without_a_shuffle(spark, warehouse, monkeypatch):
+    """One task may not read a whole large day: the files are written as they are read."""
+    for i in range(3):
+        store(warehouse, stock(spark, [(f"P{i}", i)]), "inventory_raw", i)
+    plans = []
+    real = type(spark.range(1).write).parquet
+
+    def parquet(writer, path, *a, **k):
+        plans.append(writer._df._jdf.queryExecution().executedPlan().toString())
+        return real(writer, path, *a, **k)
+
+    monkeypatch.setattr(type(spark.range(1).write), "parquet", parquet)
+    assert warehouse.fold("inventory_raw", "2024-01-06") == ["2024-01-05"]
+    assert plans and not any("Exchange" in p for p in plans)
+    assert sorted(r.sku for r in warehouse.read("inventory_raw").collect()) == ["P0", "P1", "P2"]

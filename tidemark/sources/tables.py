@@ -202,7 +202,8 @@ class Warehouse:
             beside = f"{self._days(table)}/_writing-{uuid.uuid4().hex}"
             files = 1 + folders.size(self.spark, f"{self.path(table)}/load_date={date}") // FOLDED_BYTES
             rows = self.read_loads(table, loads).drop("load_date")
-            rows.repartition(int(files)).write.parquet(beside)
+            # no shuffle: each task reads about FOLDED_BYTES of the day's files, however large the day
+            rows.coalesce(int(files)).write.parquet(beside)
             folders.rename(self.spark, beside, f"{self._days(table)}/load_date={date}")
             for load in loads:
                 folders.remove(self.spark, self._folder(table, load))
