@@ -51,11 +51,16 @@ def publish(rows: DataFrame, topic_name: str, servers: str, value: str = "value"
     message.write.format("kafka").options(**options).save()
 
 
-def text_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Raw values from text files with one JSON object per line."""
+def text_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Raw values from text files with one JSON object per line. A micro-batch takes at most so many
+    files or, as they are stored, bytes, but one file at least."""
     reader = spark.readStream.format("text")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.load(path)
 
 

@@ -31,33 +31,38 @@ def process_batch(
 ) -> None:
     """Validate a micro-batch, store good rows, rejects and the profile.
 
-    The batch is parsed once and kept while its outputs are written. Each output goes to a
-    folder named by (source, batch id), and all times come from the batch itself, so running
-    a batch again after a failure replaces what it wrote before.
+    The batch is parsed once and kept while its outputs are written; its raw text is kept only
+    where it goes to the quarantine. Each output goes to a folder named by (source, batch id), and
+    all times come from the batch itself, so running a batch again after a failure replaces what it
+    wrote before.
     """
     known = [c.lower() for c in drift.known_names(topic, healed)]
-    keys = F.from_json("_shape", "array<string>")
-    unknown = F.exists(keys, lambda key: ~F.lower(key).isin(known))
+    unknown = F.exists("_keys", lambda key: ~F.lower(key).isin(known))
     batch = (
-        batch.select("*", profile.shape_of("value").alias("_shape"))
-        .withColumn("_drifted", unknown)
-        .persist(StorageLevel.MEMORY_AND_DISK)
+        batch.withColumn("_keys", F.json_object_keys("value"))
+        .withColumn("_shape", profile.shape_text(F.col("_keys")))
+        .withColumn("_drifted", F.coalesce(unknown, F.lit(False)))
+        .drop("_keys")
     )
+    annotated = validate.with_reject_reason(batch, topic.record_type)
+    annotated = annotated.withColumn(
+        "value", F.when(F.col("reject_reason").isNotNull() | F.col("_drifted"), F.col("value"))
+    )
+    batch = annotated.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if batch.isEmpty():
             return
         columns = [*topic.expected_columns, *healed]
-        annotated = validate.with_reject_reason(batch, topic.record_type)
-        good = validate.good_rows(annotated).select(*columns)
+        good = validate.good_rows(batch).select(*columns)
         warehouse.write_load(good, topic.raw_table, source, batch_id, "ingested_at", healed)
 
-        rejected = validate.rejected_rows(annotated).select(
+        rejected = validate.rejected_rows(batch).select(
             "*", F.lit(batch_id).alias("batch_id"), F.col("ingested_at").alias("quarantine_ts")
         )
         letters = validate.dead_letters(rejected, topic.record_type)
         warehouse.write_load(letters, "dead_letters", source, batch_id, "quarantine_ts")
 
-        quarantined = _quarantined(annotated, topic, batch_id)
+        quarantined = _quarantined(batch, topic, batch_id)
         warehouse.write_load(quarantined, "quarantine_log", source, batch_id, "quarantine_ts")
 
         metadata = [c for c in topic.expected_columns if c not in topic.payload.names]
@@ -135,15 +140,19 @@ def start(
     )
 
 
-def replay_as_stream(rows: DataFrame, topic: Topic) -> DataFrame:
-    """Send rows through the topic's stream by way of JSON files; returns the raw table."""
+def replay_as_stream(rows: DataFrame, topic: Topic, batch_bytes: int = fv.REPLAY_BATCH_BYTES) -> DataFrame:
+    """Send rows through the topic's stream by way of JSON files; returns the raw table.
+
+    The files are compressed, and a micro-batch takes so many bytes of them, so that what it keeps
+    while its outputs are written does not grow with the rows sent.
+    """
     spark = rows.sparkSession
     folder = new_folder(spark, f"stream-{topic.raw_table}")
     values = rows.select(F.to_json(F.struct(*topic.payload.names)).alias("value"))
-    values.write.text(f"{folder}/events")
+    values.write.option("compression", "gzip").text(f"{folder}/events")
     warehouse = Warehouse(spark, f"{folder}/tables")
     stream = start(
-        events.text_stream(spark, f"{folder}/events"), topic, warehouse, f"{folder}/progress",
+        events.text_stream(spark, f"{folder}/events", bytes_per_trigger=batch_bytes), topic, warehouse, f"{folder}/progress",
         available_now=True,
     )
     stream.awaitTermination()
